@@ -174,8 +174,10 @@ def model_leaderboard(results: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("phase") == "train", F.col("value"))).alias("train_total_revenue"),
         F.sum(F.when(F.col("phase") == "test", F.col("value"))).alias("test_total_revenue"),
     )
-    best = totals.agg(F.max_by("model", F.struct("test_total_revenue", "model")).alias("v")).scalar()
-    return totals.withColumn("is_best", F.col("model") == best).orderBy(F.col("test_total_revenue").desc(), "model")
+    # One row per model, so one window over all of them is small.
+    best_first = Window.partitionBy(F.lit(0)).orderBy(F.col("test_total_revenue").desc(), F.col("model").desc())
+    placed = totals.withColumn("is_best", F.row_number().over(best_first) == 1)
+    return placed.orderBy(F.col("test_total_revenue").desc(), F.col("model").desc())
 
 
 def metric_trajectory(results: DataFrame) -> DataFrame:

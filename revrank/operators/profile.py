@@ -282,9 +282,10 @@ def user_activity_profile(log: DataFrame, items: DataFrame) -> DataFrame:
     """
     rows = log.groupBy("user_idx").agg(F.count("*").alias("n_rows"))
     means = _positive_prices(log, items).groupBy("user_idx").agg(F.avg("price").alias("avg_price"))
+    # A mean can miss an equal price by its last bit; nine digits settle that.
     points = items.select(
         F.lit(None).cast("long").alias("user_idx"), F.col("price").alias("avg_price"), F.lit(1).alias("is_price")
-    ).unionByName(means.select("user_idx", "avg_price", F.lit(0).alias("is_price")))
+    ).unionByName(means.select("user_idx", F.round("avg_price", 9).alias("avg_price"), F.lit(0).alias("is_price")))
     placed = global_running_sum(points, "is_price", "avg_price", F.col("is_price").desc(), "user_idx", name="n_upto")
     share = F.col("n_upto").cast("double") / scalar(items, F.count("*")) * 100
     tier = F.when(F.col("percentile") > 75, "premium").when(F.col("percentile") > 50, "regular").otherwise("budget")

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -149,7 +150,8 @@ def first_unseen(
     placed = seen_slots.join(reach, "user_idx")
     if shift:
         placed = placed.withColumn("slot", F.pmod(F.col("slot") - 1 - F.col(shift), size) + 1)
-    in_reach = placed.filter(F.col("slot") <= F.col("_need") + F.col("_seen")).select("user_idx", "slot")
+    near = placed.filter(F.col("slot") <= F.col("_need") + F.col("_seen")).select("user_idx", "slot")
+    in_reach = cut_lineage(near)  # few rows: seen items near the head of the order
     depth = in_reach.groupBy("user_idx").agg(F.count("*").alias("_depth"))
     deep = users.join(depth, "user_idx", "left").withColumn("_depth", F.coalesce("_depth", F.lit(0)))
     pairs = explode_ranks(deep, F.lit(1), F.least(size, wanted + F.col("_depth")), "slot")
@@ -168,7 +170,7 @@ def best_first_top_k(
     item_columns: list[str],
     need: str | None = None,
     first: int = 64,
-    growth: int = 4,
+    growth: int = 8,
 ) -> DataFrame:
     """Exact top ``k`` unseen items per user for scores bounded by the item.
 
@@ -191,13 +193,17 @@ def best_first_top_k(
         pairs = explode_ranks(active, F.lit(low + 1), F.lit(high))
         pairs = items_at_rank(pairs, stretch, ["item_idx", "bound", *item_columns])
         if seen is not None:
-            pairs = pairs.join(seen.select("user_idx", "item_idx").distinct(), ["user_idx", "item_idx"], "left_anti")
+            # Of the seen pairs only those of this stretch's items are shuffled.
+            names = stretch.items.select("item_idx")
+            names = F.broadcast(names) if stretch.size <= BROADCAST_ROWS else names
+            near = seen.select("user_idx", "item_idx").join(names, "item_idx", "left_semi").distinct()
+            pairs = pairs.join(near, ["user_idx", "item_idx"], "left_anti")
         scored = score(pairs).select(*keep)
         merged = scored if best is None else scored.unionByName(best)
-        best = cut_lineage(top_k_per_user(merged, limit))
         if high >= catalogue.size:
-            closed.append(best)
+            closed.append(top_k_per_user(merged, limit))
             break
+        best = cut_lineage(top_k_per_user(merged, limit))
         next_bound = catalogue.items.filter(F.col("rank") == high + 1).select("bound").head()["bound"]
         full = (
             best.groupBy("user_idx")
@@ -207,14 +213,11 @@ def best_first_top_k(
         )
         closed.append(best.join(full, "user_idx", "left_semi"))
         best = best.join(full, "user_idx", "left_anti")
-        active = cut_lineage(active.join(full, "user_idx", "left_anti"))
+        active = active.join(full, "user_idx", "left_anti")
         if active.isEmpty():
             break
         low, high = high, min(high * growth, catalogue.size)
-    result = closed[0]
-    for part in closed[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, closed)
 
 
 def for_all_users(users: DataFrame, catalogue: Catalogue, k: int, columns: list[str]) -> DataFrame:

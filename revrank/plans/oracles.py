@@ -606,7 +606,7 @@ def build() -> dict[str, str]:
     activity = f"""
         SELECT user_idx, avg_price, percentile, CASE WHEN percentile > 75 THEN 'premium' WHEN percentile > 50 THEN 'regular'
                ELSE 'budget' END AS tier, least(3.0::DOUBLE, n_rows / 5.0::DOUBLE) AS activity
-        FROM (SELECT user_idx, avg_price, (SELECT count(*) FROM items WHERE price <= avg_price)::DOUBLE
+        FROM (SELECT user_idx, avg_price, (SELECT count(*) FROM items WHERE price <= round(avg_price, 9))::DOUBLE
                      / (SELECT count(*) FROM items) * 100 AS percentile FROM {{profiles}})
         JOIN (SELECT user_idx, count(*) AS n_rows FROM {{log}} GROUP BY user_idx) USING (user_idx)"""
     S["user_activity_profile"] = sql(

@@ -108,7 +108,9 @@ class BigramRecommender(Recommender):
         taken = cut_lineage(self._continuations(contexts.join(people, "user_idx"), known_items))
         taken = self._add_by_taste(taken, people, known_items, recent_pairs if filter_seen_items else None, k)
         catalogue = global_rank(known_items.select("item_idx", "price", "is_high_value"), "item_idx")
-        taken = self._add_in_order(taken, people, catalogue, None, k, 1.1, 0.2)
+        if catalogue.size < 2 * k + RECENT_ROWS:
+            # Only then can the stage before run out of items for a user.
+            taken = cut_lineage(self._add_in_order(taken, people, catalogue, None, k, 1.1, 0.2))
         if filter_seen_items:
             taken = taken.join(recent_pairs, ["user_idx", "item_idx"], "left_anti")
             taken = self._add_in_order(taken, people, catalogue, recent_pairs, k, 1.05, 0.1)
