@@ -226,8 +226,8 @@ def bigram_lists(filter_seen: bool) -> str:
             JOIN flagged ON target = item_idx, stats""",
         "n1": "SELECT user_idx, count(*) AS n FROM s1 GROUP BY user_idx",
         "s2": f"""
-            SELECT user_idx, item_idx, score FROM (
-              SELECT p.user_idx, i.item_idx, {r6(taste)} AS score, coalesce(n, 0) AS n
+            SELECT user_idx, item_idx, {r6('score')} AS score FROM (
+              SELECT p.user_idx, i.item_idx, round(({taste}) + 1e-10::DOUBLE, 9) AS score, coalesce(n, 0) AS n
               FROM people p LEFT JOIN n1 ON n1.user_idx = p.user_idx, flagged i
               WHERE coalesce(n, 0) < {K}
                 AND NOT EXISTS (SELECT 1 FROM s1 WHERE s1.user_idx = p.user_idx AND s1.item_idx = i.item_idx)

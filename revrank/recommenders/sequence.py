@@ -11,7 +11,15 @@ from revrank.functions import expressions as E
 from revrank.operators.factorise import svd
 from revrank.operators.knn import unit_vectors
 from revrank.operators.profile import high_value_items, price_percentiles, user_spending_profile
-from revrank.operators.ranking import best_first_top_k, first_unseen, global_rank, top_k_per_user
+from revrank.operators.ranking import (
+    best_first_top_k,
+    explode_ranks,
+    first_unseen,
+    global_rank,
+    global_running_sum,
+    items_at_rank,
+    top_k_per_user,
+)
 from revrank.operators.sequences import (
     bigram_probs,
     bigram_pruned,
@@ -123,31 +131,74 @@ class BigramRecommender(Recommender):
         return people.join(counts, "user_idx", "left").withColumn("need", free).filter("need > 0").drop("_n")
 
     def _add_by_taste(self, taken, people, known_items, recent_pairs, k):
-        """Stage 2: unseen items by price and closeness to the user's mean price."""
-        lift = F.when(F.col("is_high_value"), F.lit(1.8)).otherwise(F.lit(1.4))
-
-        def revenue(closeness):
-            chance = F.least(F.lit(0.75), (F.lit(0.15) + closeness * 0.25) * lift)
-            return E.shown(chance * F.col("price") * 1.5)
-
-        bounded = known_items.withColumn("bound", revenue(F.lit(1.0)))
-        catalogue = global_rank(bounded, F.col("bound").desc(), "item_idx")
+        """Stage 2: unseen items by price and closeness to the user's mean price m.
+
+        The score depends on the item through its price p alone. Below the
+        high-value line and above it, it rises in p up to the peak 1.3 m + 4, falls
+        until closeness reaches its floor at 1.7 m + 3.5, and rises from there. In
+        each such run of prices the best items lie at one end, so a user reads a
+        few items at the end of at most six runs, and the result is exact.
+        """
         open_users = cut_lineage(self._open_places(taken, people, k).select("user_idx", "avg_price", "need"))
         if open_users.isEmpty():
             return taken
         blocked = taken.select("user_idx", "item_idx")
         if recent_pairs is not None:
             blocked = blocked.unionByName(recent_pairs)
-        blocked = blocked.join(open_users, "user_idx", "left_semi")
-
-        def score(pairs: DataFrame) -> DataFrame:
-            closeness = E.price_match(F.col("price"), F.col("avg_price"), 0.3, 5.0)
-            return pairs.withColumn("score", revenue(closeness))
-
-        added = best_first_top_k(
-            open_users, catalogue, blocked, k, score, ["price", "is_high_value"], need="need"
+        blocked = cut_lineage(blocked.join(open_users, "user_idx", "left_semi").distinct())
+        listed = known_items.select("item_idx", "price", "is_high_value")
+        dear_first = global_rank(listed, F.col("price").desc(), "item_idx")
+        cheap_first = global_rank(listed, F.col("price").asc(), "item_idx")
+        size = F.lit(dear_first.size).cast("long")
+        n_low = listed.filter(~F.col("is_high_value")).agg(F.count("*").alias("v")).scalar()
+
+        # Numbers of items priced up to the peak and up to the floor, by mean price.
+        means = open_users.select("avg_price").distinct()
+        peak = F.col("avg_price") * 1.3 + 4.0
+        floor = F.greatest(peak, F.col("avg_price") * 1.7 + 3.5)
+        turns = means.select("avg_price", F.inline(F.array(
+            F.struct(F.lit("peak").alias("turn"), peak.alias("x")), F.struct(F.lit("floor").alias("turn"), floor.alias("x"))
+        )))
+        points = turns.withColumn("is_price", F.lit(0)).unionByName(
+            listed.select(F.col("price").alias("x"), F.lit(1).alias("is_price")), allowMissingColumns=True
+        )
+        counted = global_running_sum(points, "is_price", "x", F.col("is_price").desc(), "avg_price", "turn", name="n_upto")
+        places = counted.filter("is_price = 0").groupBy("avg_price").agg(
+            F.max(F.when(F.col("turn") == "peak", F.col("n_upto"))).alias("n_peak"),
+            F.max(F.when(F.col("turn") == "floor", F.col("n_upto"))).alias("n_floor"),
         )
-        return cut_lineage(taken.unionByName(added.select("user_idx", "item_idx", "score")))
+        n_peak, n_floor, none = F.col("n_peak"), F.col("n_floor"), F.lit(0).cast("long")
+        runs = [
+            F.struct(
+                F.greatest(low, start).alias("low"), F.least(high, end).alias("high"), F.lit(rising).alias("rising")
+            )
+            for low, high, rising in ((none, n_peak, True), (n_peak, n_floor, False), (n_floor, size, True))
+            for start, end in ((none, n_low), (n_low, size))
+        ]
+        extra = blocked.groupBy("user_idx").agg(F.count("*").alias("n_blocked"))
+        reading = (
+            open_users.join(places, "avg_price")
+            .join(extra, "user_idx", "left")
+            .withColumn("depth", F.col("need") + F.coalesce("n_blocked", F.lit(0)))
+            .select("user_idx", "avg_price", "need", "depth", F.inline(F.array(*runs)))
+            .filter(F.col("high") > F.col("low"))
+        )
+        parts = []
+        for order, rising, first, last in (
+            (dear_first, True, size - F.col("high") + 1, size - F.col("low")),
+            (cheap_first, False, F.col("low") + 1, F.col("high")),
+        ):
+            run = reading.filter(F.col("rising") == rising)
+            ranks = explode_ranks(run, first, F.least(last, first + F.col("depth") - 1))
+            parts.append(items_at_rank(ranks, order, ["item_idx", "price", "is_high_value"]))
+        pairs = parts[0].unionByName(parts[1]).join(blocked, ["user_idx", "item_idx"], "left_anti")
+
+        closeness = E.price_match(F.col("price"), F.col("avg_price"), 0.3, 5.0)
+        lift = F.when(F.col("is_high_value"), F.lit(1.8)).otherwise(F.lit(1.4))
+        chance = F.least(F.lit(0.75), (F.lit(0.15) + closeness * 0.25) * lift)
+        scored = pairs.withColumn("exact", E.shown(chance * F.col("price") * 1.5, 9))
+        added = top_k_per_user(scored, "need", "exact").select("user_idx", "item_idx", E.shown("exact").alias("score"))
+        return cut_lineage(taken.unionByName(added))
 
     def _add_in_order(self, taken, people, catalogue, recent_pairs, k, lift, share):
         """Stages 3 and 4: items in catalogue order for the places still free."""
