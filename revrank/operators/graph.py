@@ -98,12 +98,9 @@ def _large_group_dots(cells: DataFrame) -> DataFrame:
     placed = cells.withColumn("_at", F.pmod(F.xxhash64("o"), F.lit(blocks)).cast("int")).withColumn(
         "chunk", F.pmod(F.xxhash64("g"), F.lit(chunks)).cast("int")
     )
-    left = placed.withColumn("to", F.explode(F.sequence("_at", F.lit(blocks - 1)))).select(
-        F.col("_at").alias("from"), "to", "chunk", "g", "o", "w"
-    )
-    right = placed.withColumn("from", F.explode(F.sequence(F.lit(0), "_at"))).select(
-        "from", F.col("_at").alias("to"), "chunk", "g", "o", "w"
-    )
+    own, cell = F.col("_at"), [F.col(c).alias(c) for c in ("chunk", "g", "o", "w")]  # new names for either side
+    left = placed.withColumn("to", F.explode(F.sequence("_at", F.lit(blocks - 1)))).select(own.alias("from"), "to", *cell)
+    right = placed.withColumn("from", F.explode(F.sequence(F.lit(0), "_at"))).select("from", own.alias("to"), *cell)
     key = ["from", "to", "chunk"]
     return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(_block_product, "a long, b long, dot double")
 
