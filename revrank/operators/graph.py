@@ -187,7 +187,7 @@ def embedding_dot(pairs: DataFrame, user_vectors: DataFrame, item_vectors: DataF
     return joined.withColumn("dot", E.dot(u, v)).drop("_uv", "_iv")
 
 
-def graph_affinity(cells: DataFrame, pairs: DataFrame, hot_rows: int = 10_000) -> DataFrame:
+def graph_affinity(cells: DataFrame, pairs: DataFrame, hot_rows: int = 1_000) -> DataFrame:
     """Σ_j S(i, j) · weight(u, j) for the given pairs (u, i).
 
     Items are seen as unit vectors over users; a user's interactions sum these to
@@ -239,7 +239,7 @@ def graph_affinity(cells: DataFrame, pairs: DataFrame, hot_rows: int = 10_000) -
 
 
 def graph_scores(
-    cells: DataFrame, pairs: DataFrame, user_vectors: DataFrame, item_vectors: DataFrame, hot_rows: int = 10_000
+    cells: DataFrame, pairs: DataFrame, user_vectors: DataFrame, item_vectors: DataFrame, hot_rows: int = 1_000
 ) -> DataFrame:
     """0.7 · factor dot + 0.3 · graph affinity for the given pairs."""
     dots = embedding_dot(pairs.select("user_idx", "item_idx").distinct(), user_vectors, item_vectors)
