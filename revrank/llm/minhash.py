@@ -15,8 +15,8 @@ Groups of any size are worked through without listing their pairs:
    the confirmed links are joined to components;
 3. where a key still holds several components, the remaining pairs across
    components are tried, each under the first key it shares only, and only if
-   sizes and the number of shingles that no other document in question has
-   leave room for the similarity.
+   there is room for the similarity: shingles of the key's compared document
+   that both have, as bits, and shingles beyond it that are in any other set.
 
 A pair inside one component is never needed, so the components are those of all
 links between signatures within the threshold.
@@ -110,6 +110,21 @@ def common(a: pa.Array, b: pa.Array) -> pa.Array:
     )
 
 
+_OUTLINE = T.StructType().add("bits", T.ArrayType(T.LongType())).add("outside", T.LongType())
+
+
+@F.arrow_udf(_OUTLINE)
+def outline(centers: pa.Array, sets: pa.Array) -> pa.Array:
+    """Which of the center's shingles a set has, as bits, and how many others it has."""
+    out = []
+    for x, y in zip(centers.to_pylist(), sets.to_pylist(), strict=True):
+        center, own = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
+        has = np.isin(center, own, assume_unique=True)
+        bits = np.packbits(np.concatenate([has, np.zeros(-len(has) % 64, dtype=bool)])).view(np.int64)
+        out.append({"bits": bits, "outside": len(own) - int(has.sum())})
+    return pa.array(out, type=pa.struct([("bits", pa.list_(pa.int64())), ("outside", pa.int64())]))
+
+
 def keys(places: Column) -> Column:
     """One key for each chunk and place left out of it."""
     return F.array(
@@ -150,35 +165,45 @@ def linked(reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     found = cut_lineage(components(links))
     placed = members.filter("size > 2 AND id <> center").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    placed = cut_lineage(placed.select("key", "slot", "id", "n", "component"))
+    placed = cut_lineage(placed.select("key", "slot", "id", "center", "component"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
     rest = cut_lineage(placed.join(mixed.select("key"), "key"))
     if rest.isEmpty():
         return links
 
+    asked = cut_lineage(rest.select("id").union(rest.select("center")).distinct())
+    sets = cut_lineage(texts.join(bounded_broadcast(asked), "id", "left_semi").select("id", shingle_set("text").alias("set")).distinct())
     # Shingles that only one of the documents in question has cannot be in common.
-    asked = cut_lineage(rest.select("id").distinct())
-    held = texts.join(bounded_broadcast(asked), "id", "left_semi").select("id", F.explode(unpacked(shingle_set("text"))).alias("shingle"))
     alone = (
-        held.groupBy("shingle")
+        sets.select("id", F.explode(unpacked("set")).alias("shingle"))
+        .groupBy("shingle")
         .agg(F.min("id").alias("id"), F.max("id").alias("last"))
         .filter("id = last")
         .groupBy("id")
         .agg(F.count("*").alias("alone"))
     )
-    known = cut_lineage(
-        asked.join(reps, "id").join(alone, "id", "left").select("id", "n", F.coalesce("alone", F.lit(0)).alias("alone"), keys(F.col("places")).alias("keys"))
+    outlined = (
+        rest.select("center", "id")
+        .distinct()
+        .join(sets.toDF("center", "s_c"), "center")
+        .join(sets, "id")
+        .select("center", "id", outline("s_c", "set").alias("o"))
+        .join(alone, "id", "left")
+        .select("center", "id", "o.bits", (F.col("o.outside") - F.coalesce("alone", F.lit(0))).alias("free"))
     )
-    left = rest.select("key", "slot", "id", "component").join(known, "id")
+    known = rest.join(cut_lineage(outlined), ["center", "id"]).join(reps.select("id", "n", keys(F.col("places")).alias("keys")), "id")
+    left = cut_lineage(known.drop("center"))
     a = left.select("key", *(F.col(c).alias(f"{c}_a") for c in left.columns if c != "key"))
     b = left.select(F.col("key").alias("key_b"), *(F.col(c).alias(f"{c}_b") for c in left.columns if c != "key"))
-    room = F.least(F.col("n_a") - F.col("alone_a"), F.col("n_b") - F.col("alone_b"))
+    inside = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda s, x: s + x)
+    room = inside + F.least("free_a", "free_b")
     first = F.array_position(F.zip_with("keys_a", "keys_b", lambda x, y: x == y), True) - 1
     tried = a.join(
         b,
         (F.col("key") == F.col("key_b"))
         & (F.col("id_a") < F.col("id_b"))
         & (F.col("component_a") != F.col("component_b"))
+        & (F.least("n_a", "n_b") * 100 >= percent * F.greatest("n_a", "n_b"))
         & similar(room, F.col("n_a"), F.col("n_b"), percent)
         & (first == F.col("slot_a")),
     )
