@@ -4,21 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revrank.llm import minhash
+from revrank.llm import minhash, packing, pieces, secrets
 from revrank.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents and the texts decoded from them, as digests."""
+    return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents, told apart by the sources that share them."""
+    return secrets.report(secrets.scan(table(spark, sf_dir, "documents")))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 4096 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Query] = {
+    "op2_sentencepiece": op2_sentencepiece,
+    "op4_secret_scan": op4_secret_scan,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op9_packing": op9_packing,
 }
 
 ORACLES: dict[str, str] = {}
