@@ -60,3 +60,17 @@ def components(edges: DataFrame) -> DataFrame:
         before = after
     found = pairs.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return found.union(found.select(F.col("component").alias("id"), "component").distinct())
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, columns: tuple[str, ...], most: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, text, *columns) of about ``most`` labelled documents, chosen by a hash of the id.
+
+    Labels of one id are averaged and rounded; rows without an id or one of the labels
+    are left out. The chosen ids are at most a few more than ``most`` and are broadcast.
+    """
+    rated = labels.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("id"))
+    rated = rated.agg(*(F.round(F.avg(c)).cast("int").alias(c) for c in columns)).dropna()
+    share = min(1.0, most / max(1, rated.count()))
+    chosen = cut_lineage(rated.filter(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1_000_000)) < F.lit(int(share * 1_000_000))))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return texts.join(F.broadcast(chosen), "id")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revrank.llm import minhash, packing, pieces, secrets
+from revrank.llm import licenses, minhash, packing, pieces, quality, secrets, toxicity
 from revrank.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,11 +18,21 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices of all documents."""
+    return licenses.report(licenses.scan(table(spark, sf_dir, "documents")))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of all documents, told apart by the sources that share them."""
     return secrets.report(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned from the labels that are not held out."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -33,11 +43,19 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents by a classifier chain."""
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_license_scan": op3_license_scan,
     "op4_secret_scan": op4_secret_scan,
+    "op5_quality": op5_quality,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op9_packing": op9_packing,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {}

@@ -123,6 +123,39 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reposi
     )
 
 
+#: Rows with live secrets up to which they are broadcast (a few spans each, about 50 MB).
+BROADCAST_ROWS = 100_000
+HIDDEN = "[SECRET]"
+
+
+def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repository_col: str = "source", owner_col: str = "source") -> DataFrame:
+    """``docs`` with every live-looking secret in ``text_col`` replaced by ``HIDDEN``; copied examples stay.
+
+    Spans that touch become one. All other columns and all rows are as before.
+    """
+    key = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.xxhash64(text_col).cast("string"))
+    found = scan(docs.withColumn("_secret_key", key), "_secret_key", text_col, repository_col, owner_col)
+    live = F.transform(F.filter("spans", lambda s: s["live"]), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    hidden = cut_lineage(found.select("_secret_key", live.alias("_live")).filter(F.size("_live") > 0).dropDuplicates(["_secret_key"]))
+    if hidden.count() <= BROADCAST_ROWS:
+        hidden = F.broadcast(hidden)
+
+    @F.arrow_udf(T.StringType())
+    def without(texts: pa.Array, spans_: pa.Array) -> pa.Array:
+        out = []
+        for text, own in zip(texts.to_pylist(), spans_.to_pylist(), strict=True):
+            parts, at = [], 0
+            for span in own or []:
+                if span["start"] >= at:
+                    parts += [text[at : span["start"]], HIDDEN]
+                at = max(at, span["end"])
+            out.append("".join([*parts, text[at:]]) if parts else text)
+        return pa.array(out, type=pa.string())
+
+    joined = docs.withColumn("_secret_key", key).join(hidden, "_secret_key", "left")
+    return joined.withColumn(text_col, without(F.col(text_col), F.col("_live"))).select(*docs.columns)
+
+
 def report(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Counts, digest of the base spans, all spans, and how many values look live or copied."""
 

@@ -6,6 +6,7 @@ can be found and hashed without one Python object per word.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -51,10 +52,9 @@ class Words:
         self.first = np.searchsorted(self.start, self.text_start)
         self.doc = np.repeat(np.arange(len(texts)), np.diff(self.first))
 
-    def hashes(self, most: int | None = None) -> np.ndarray:
-        """64-bit hash of every word, or of its first ``most`` bytes."""
-        if not len(self.start):
-            return np.zeros(0, dtype=np.uint64)
+    @functools.cached_property
+    def _bytes(self) -> tuple[np.ndarray, np.ndarray]:
+        """A number for every byte in its place of a word (0 outside of words), and that place."""
         origin = np.zeros(len(self.data), dtype=np.int64)
         origin[self.start] = self.start
         place = np.arange(len(self.data)) - np.maximum.accumulate(origin)
@@ -62,11 +62,18 @@ class Words:
         if (far := place > 255).any():
             values[far] *= mix((place[far] >> 8).astype(np.uint64)) | np.uint64(1)
         values[~self.inside] = 0
+        return values, place
+
+    def hashes(self, most: int | None = None) -> np.ndarray:
+        """64-bit hash of every word, or of its first ``most`` bytes."""
+        if not len(self.start):
+            return np.zeros(0, dtype=np.uint64)
+        values, place = self._bytes
+        length = self.end - self.start
         if most is not None:
-            values[place >= most] = 0
-        total = np.add.reduceat(values, self.start)
-        length = self.end - self.start if most is None else np.minimum(self.end - self.start, most)
-        return mix(total + length.astype(np.uint64))
+            values = np.where(place < most, values, np.uint64(0))
+            length = np.minimum(length, most)
+        return mix(np.add.reduceat(values, self.start) + length.astype(np.uint64))
 
 
 def slices(texts: Sequence[str | None], most_bytes: int = SLICE_BYTES) -> Iterator[list[bytes]]:
