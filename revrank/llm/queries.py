@@ -7,12 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revrank.llm import licenses, minhash, packing, pieces, quality, secrets, toxicity
+from revrank.llm import licenses, minhash, packing, pieces, quality, secrets, spotsigs, toolcalls, toxicity, vectors
 from revrank.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return spotsigs.report(spotsigs.compared(table(spark, sf_dir, "documents")))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents and the texts decoded from them, as digests."""
     return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -33,11 +38,22 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All turns of all conversations as linked, ordered and validated calls."""
+    calls, results = toolcalls.from_turns(table(spark, sf_dir, "conversations"))
+    return toolcalls.linked_calls(calls, results, toolcalls.REPLY)
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all vectors within their labels."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 4096 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -49,11 +65,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_spot_signatures": op1_spot_signatures,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_license_scan": op3_license_scan,
     "op4_secret_scan": op4_secret_scan,
     "op5_quality": op5_quality,
+    "op6_tool_calls": op6_tool_calls,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_vector_near_dedup": op8_vector_near_dedup,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
 }
