@@ -45,7 +45,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Live-looking secrets are hidden; documents stay, with their new length."""
-    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    hidden = secrets.redact(docs)
+    return hidden.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
