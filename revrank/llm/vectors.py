@@ -31,7 +31,7 @@ WINDOW, BLOCK = 512, 1024
 SIGNS = 62
 #: Share of pairs at the least similarity that all passes together may miss.
 MISSED = 1e-4
-LEAST_PASSES = 6
+LEAST_PASSES = 8
 SEED = 11
 
 _CLASS = T.StructType().add("size", T.IntegerType()).add("digest", T.BinaryType())
