@@ -40,11 +40,11 @@ def interaction_density(users: DataFrame, items: DataFrame, log: DataFrame) -> D
 
 def coverage(users: DataFrame, items: DataFrame, log: DataFrame) -> DataFrame:
     """Users and items with at least one interaction, and their share in percent."""
-    parts = []
-    for side, table, key in (("users", users, "user_idx"), ("items", items, "item_idx")):
-        active = log.agg(F.countDistinct(key).alias("n_active"))
-        parts.append(active.select(F.lit(side).alias("side"), "n_active", scalar(table, F.count("*")).alias("n_total")))
-    both = parts[0].unionByName(parts[1])
+    active = log.agg(F.countDistinct("user_idx").alias("users"), F.countDistinct("item_idx").alias("items"))
+    counted = active.unpivot([], ["users", "items"], "side", "n_active")
+    totals = {"users": scalar(users, F.count("*")), "items": scalar(items, F.count("*"))}
+    n_total = F.when(F.col("side") == "users", totals["users"]).otherwise(totals["items"])
+    both = counted.withColumn("n_total", n_total)
     return both.withColumn("share_pct", F.try_divide(F.col("n_active").cast("double"), F.col("n_total")) * 100)
 
 

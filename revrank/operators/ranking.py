@@ -31,16 +31,19 @@ def top_k_per_user(
     tie: str = "item_idx",
     rank: str | None = None,
     user: str = "user_idx",
+    most: int | None = None,
 ) -> DataFrame:
     """The ``k`` best rows of every user; equal scores go by ``tie`` ascending.
 
     Spark cuts each map task's groups to the limit before the shuffle
-    (WindowGroupLimit), so a user holding much of the input stays cheap.
+    (WindowGroupLimit), so a user holding much of the input stays cheap. It does
+    so for a number only: with a column of limits give the largest as ``most``.
     """
     order = Window.partitionBy(user).orderBy(F.col(score).desc(), F.col(tie).asc())
     limit = F.lit(k) if isinstance(k, int) else (F.col(k) if isinstance(k, str) else k)
     name = rank or "_rank"
-    kept = df.withColumn(name, F.row_number().over(order)).filter(F.col(name) <= limit)
+    kept = df.withColumn(name, F.row_number().over(order))
+    kept = (kept if most is None else kept.filter(F.col(name) <= most)).filter(F.col(name) <= limit)
     return kept if rank else kept.drop(name)
 
 
@@ -201,9 +204,9 @@ def best_first_top_k(
         scored = score(pairs).select(*keep)
         merged = scored if best is None else scored.unionByName(best)
         if high >= catalogue.size:
-            closed.append(top_k_per_user(merged, limit))
+            closed.append(top_k_per_user(merged, limit, most=k))
             break
-        best = cut_lineage(top_k_per_user(merged, limit))
+        best = cut_lineage(top_k_per_user(merged, limit, most=k))
         next_bound = catalogue.items.filter(F.col("rank") == high + 1).select("bound").head()["bound"]
         full = (
             best.groupBy("user_idx")
@@ -220,6 +223,44 @@ def best_first_top_k(
     return reduce(DataFrame.unionByName, closed)
 
 
+def grouped_top_k(
+    users: DataFrame,
+    group_columns: list[str],
+    catalogue: Catalogue,
+    seen: DataFrame | None,
+    k: int,
+    score: Callable[[DataFrame], DataFrame],
+    item_columns: list[str],
+    first: int = 64,
+    growth: int = 8,
+) -> DataFrame:
+    """Exact top ``k`` unseen items per user when users that agree in ``group_columns`` score alike.
+
+    The search runs once per group and need: a user who has seen s items finds the
+    k best unseen among the group's k + s best, and needs are rounded up to powers of two.
+    So a user costs about k + s rows however many items are searched. ``score``
+    sees a group as one user with the columns of one of its users.
+    """
+    people = users
+    if seen is None:
+        people = people.withColumn("_seen", F.lit(0))
+    else:
+        seen = cut_lineage(seen.select("user_idx", "item_idx").distinct())
+        people = people.join(seen.groupBy("user_idx").agg(F.count("*").alias("_seen")), "user_idx", "left").na.fill(0, ["_seen"])
+    power = F.pow(F.lit(2.0), F.ceil(F.log2(F.col("_seen") + F.lit(k)))).cast("long")
+    people = people.withColumn("need", F.least(power, F.lit(catalogue.size).cast("long")))
+    people = cut_lineage(people.withColumn("_group", F.xxhash64(*group_columns, "need")))
+    others = [c for c in users.columns if c != "user_idx"]
+    groups = people.groupBy("_group", "need").agg(F.min(F.struct(*others)).alias("_one")).select(F.col("_group").alias("user_idx"), "need", "_one.*")
+    largest = groups.agg(F.max("need")).first()[0] or k
+    lists = best_first_top_k(groups, catalogue, None, int(largest), score, item_columns, "need", first, growth)
+    lists = cut_lineage(lists.select(F.col("user_idx").alias("_group"), "item_idx", "score"))
+    own = people.select("user_idx", "_group").join(lists, "_group").drop("_group")
+    if seen is not None:
+        own = own.join(seen, ["user_idx", "item_idx"], "left_anti")
+    return top_k_per_user(own, k)
+
+
 def for_all_users(users: DataFrame, catalogue: Catalogue, k: int, columns: list[str]) -> DataFrame:
     """The first ``k`` items of the catalogue order, given to every user."""
     return first_unseen(users, catalogue, None, k, columns)

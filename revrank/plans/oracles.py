@@ -88,6 +88,13 @@ def sql(parts: str, select: str, **extra: str) -> str:
     return f"WITH {ctes}\n{select}" if named else select
 
 
+#: Queries that learn from the whole log: the part named ``early`` is all of it there.
+WHOLE_LOG = (
+    "candidate_cross candidates coverage user_spending_profile user_price_profile user_price_profile_simple"
+    " user_activity_profile dense_index item_vocabulary padded_sequences global_top_k_for_all staged_fill model_statistics"
+    " graph_fallback price_fallback random_recommend popularity_recommend content_based_recommend bigram_recommend_whole_log"
+).split()
+
 BASE = "users items log early priced_log stats flagged"
 
 
@@ -406,13 +413,13 @@ def result_parts() -> dict[str, str]:
 
 
 def iteration_results() -> str:
-    """Popularity refitted before each iteration, for half of the users."""
-    parts = {"half": f"SELECT * FROM users WHERE {unit_hash('user_idx::VARCHAR')} < 0.5::DOUBLE"}
+    """Popularity refitted before each iteration."""
+    parts = {}
     selects = []
     for phase, t in STEPS:
         parts[f"past_{t}"] = f"SELECT * FROM log WHERE __iter < {t}"
         parts[f"future_{t}"] = f"SELECT * FROM log WHERE __iter = {t}"
-        parts[f"list_{t}"] = ranked(item_score_lists(popular_scores(f"past_{t}", True), f"past_{t}", users="half"))
+        parts[f"list_{t}"] = ranked(item_score_lists(popular_scores(f"past_{t}", True), f"past_{t}"))
         parts[f"m_{t}"] = metrics_of(f"list_{t}", f"future_{t}")
         selects.append(totals_of(f"m_{t}", "popularity", phase, t))
     return sql(
@@ -636,11 +643,11 @@ def build() -> dict[str, str]:
         BASE,
         """SELECT u.user_idx, CAST(p AS INTEGER) AS pos, coalesce(item_id, 0) AS item_id, coalesce(price, 0.0) AS price,
                   f.user_idx IS NOT NULL AS mask
-           FROM (SELECT user_idx, 60 - max(pos) AS gap FROM filled GROUP BY user_idx) u CROSS JOIN (SELECT unnest(range(60)) AS p)
+           FROM (SELECT user_idx, 100 - max(pos) AS gap FROM filled GROUP BY user_idx) u CROSS JOIN (SELECT unnest(range(100)) AS p)
            LEFT JOIN filled f ON f.user_idx = u.user_idx AND f.pos = p - gap + 1""",
         vocab=vocabulary,
         filled=f"""SELECT user_idx, pos, coalesce(item_id, 0) AS item_id, price
-                   FROM ({recent.format(n=60, log='log')}) LEFT JOIN vocab USING (item_idx) LEFT JOIN items USING (item_idx)""",
+                   FROM ({recent.format(n=100, log='log')}) LEFT JOIN vocab USING (item_idx) LEFT JOIN items USING (item_idx)""",
     )
     parts = bigram_parts("log")
     S["bigrams"] = sql(
@@ -766,6 +773,7 @@ def build() -> dict[str, str]:
     S["price_fallback"] = sql(BASE, item_score_lists(price_scores(), None))
     S["content_based_recommend"] = content_lists()
     S["bigram_recommend"] = bigram_lists(True)
+    S["bigram_recommend_whole_log"] = bigram_lists(True)
     S["bigram_recommend_with_seen"] = bigram_lists(False)
     S["graph_recommend"] = graph_lists()
     S["graph_cold_start"] = sql(BASE, cold_scores(), pops=popularity("early"))
@@ -818,6 +826,8 @@ def build() -> dict[str, str]:
         BASE, f"SELECT model, metric, phase, iteration - 3 AS step, {r6('value')} AS value FROM results", **result_parts()
     )
     S["metric_correlation"] = metric_pairs()
+    for name in WHOLE_LOG:
+        S[name] = S[name].replace(PARTS["early"], "SELECT * FROM log")
     return S
 
 

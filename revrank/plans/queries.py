@@ -230,13 +230,13 @@ def training_features(spark, folder):
 @query
 def candidate_cross(spark, folder):
     t = Tables(spark, folder)
-    return show(R.candidate_space(t.users, t.items, t.early), "candidate_price_sum")
+    return show(R.candidate_space(t.users, t.items, t.log), "candidate_price_sum")
 
 
 @query
 def candidates(spark, folder):
     t = Tables(spark, folder)
-    found = R.first_unseen(t.users.select("user_idx"), by_price(t.items), t.early, 4 * K, ["item_idx", "price"])
+    found = R.first_unseen(t.users.select("user_idx"), by_price(t.items), t.log, 4 * K, ["item_idx", "price"])
     return found.select("user_idx", "item_idx", "price")
 
 
@@ -291,7 +291,7 @@ def interaction_density(spark, folder):
 @query
 def coverage(spark, folder):
     t = Tables(spark, folder)
-    return show(P.coverage(t.users, t.items, t.early), "share_pct")
+    return show(P.coverage(t.users, t.items, t.log), "share_pct")
 
 
 @query
@@ -391,25 +391,25 @@ def item_value_score(spark, folder):
 @query
 def user_spending_profile(spark, folder):
     t = Tables(spark, folder)
-    return show(P.user_spending_profile(t.early, t.items), "avg_price", "price_std")
+    return show(P.user_spending_profile(t.log, t.items), "avg_price", "price_std")
 
 
 @query
 def user_price_profile(spark, folder):
     t = Tables(spark, folder)
-    return show(P.user_price_profile(t.early, t.items), "mean_price", "std_price", "price_range")
+    return show(P.user_price_profile(t.log, t.items), "mean_price", "std_price", "price_range")
 
 
 @query
 def user_price_profile_simple(spark, folder):
     t = Tables(spark, folder)
-    return show(P.user_price_profile_simple(t.early, t.items), "mean_price")
+    return show(P.user_price_profile_simple(t.log, t.items), "mean_price")
 
 
 @query
 def user_activity_profile(spark, folder):
     t = Tables(spark, folder)
-    return show(P.user_activity_profile(t.early, t.items), "avg_price", "percentile", "activity")
+    return show(P.user_activity_profile(t.log, t.items), "avg_price", "percentile", "activity")
 
 
 # ---------------------------------------------------------------- windows and ranking
@@ -417,13 +417,13 @@ def user_activity_profile(spark, folder):
 
 @query
 def dense_index(spark, folder):
-    return X.dense_index(Tables(spark, folder).early, "user_idx")
+    return X.dense_index(Tables(spark, folder).log, "user_idx")
 
 
 @query
 def item_vocabulary(spark, folder):
     t = Tables(spark, folder)
-    return X.encode_items(t.items.select("item_idx"), X.item_vocabulary(t.early))
+    return X.encode_items(t.items.select("item_idx"), X.item_vocabulary(t.log))
 
 
 @query
@@ -441,7 +441,7 @@ def recent_history(spark, folder):
 @query
 def padded_sequences(spark, folder):
     t = Tables(spark, folder)
-    padded = S.padded_sequences(t.log, t.items, X.item_vocabulary(t.early), 60)
+    padded = S.padded_sequences(t.log, t.items, X.item_vocabulary(t.log), 100)
     rows = F.arrays_zip("item_ids", "prices", "mask")
     return padded.select("user_idx", F.posexplode(rows).alias("pos", "row")).select(
         "user_idx",
@@ -495,7 +495,7 @@ def standardize(spark, folder):
 @query
 def global_top_k_for_all(spark, folder):
     t = Tables(spark, folder)
-    scored = PopularityRecommender(by_revenue=True).fit(t.early, t.users, t.items).item_scores(t.items)
+    scored = PopularityRecommender(by_revenue=True).fit(t.log, t.users, t.items).item_scores(t.items)
     return R.for_all_users(t.users.select("user_idx"), by_score(scored), K, ["item_idx", "score"]).select(
         "user_idx", "item_idx", "score"
     )
@@ -526,17 +526,17 @@ def bigram_probs(spark, folder):
 @query
 def staged_fill(spark, folder):
     t = Tables(spark, folder)
-    last = S.recent_history(t.early, 1).select("user_idx", F.col("item_idx").alias("context"))
-    counts = S.bigrams(t.early).groupBy("context", "target").agg(F.count("*").cast("double").alias("score"))
+    last = S.recent_history(t.log, 1).select("user_idx", F.col("item_idx").alias("context"))
+    counts = S.bigrams(t.log).groupBy("context", "target").agg(F.count("*").cast("double").alias("score"))
     follow = last.join(counts, "context").select("user_idx", F.col("target").alias("item_idx"), "score")
-    popular = PriceRecommender().fit(t.early, t.users, t.items).recommend(t.early, 2 * K, t.users, t.items)
+    popular = PriceRecommender().fit(t.log, t.users, t.items).recommend(t.log, 2 * K, t.users, t.items)
     return S.staged_fill([follow, popular], t.users, K)
 
 
 @query
 def model_statistics(spark, folder):
     t = Tables(spark, folder)
-    return BigramRecommender().fit(t.early, t.users, t.items).statistics()
+    return BigramRecommender().fit(t.log, t.users, t.items).statistics()
 
 
 # ---------------------------------------------------------------- graph
@@ -685,7 +685,7 @@ def neighbour_share(spark, folder):
 # ---------------------------------------------------------------- recommenders
 
 
-def _recommend(spark, folder, model, filter_seen_items=True, log="early"):
+def _recommend(spark, folder, model, filter_seen_items=True, log="log"):
     t = Tables(spark, folder)
     rows = getattr(t, log)
     fitted = model.fit(rows, t.users, t.items)
@@ -704,7 +704,7 @@ def popularity_recommend(spark, folder):
 
 @query
 def popularity_revenue_recommend(spark, folder):
-    return _recommend(spark, folder, PopularityRecommender(by_revenue=True), log="log")
+    return _recommend(spark, folder, PopularityRecommender(by_revenue=True))
 
 
 @query
@@ -719,17 +719,22 @@ def content_based_recommend(spark, folder):
 
 @query
 def bigram_recommend(spark, folder):
-    return _recommend(spark, folder, BigramRecommender())
+    return _recommend(spark, folder, BigramRecommender(), log="early")
 
 
 @query
 def bigram_recommend_with_seen(spark, folder):
-    return _recommend(spark, folder, BigramRecommender(), filter_seen_items=False)
+    return _recommend(spark, folder, BigramRecommender(), filter_seen_items=False, log="early")
+
+
+@query
+def bigram_recommend_whole_log(spark, folder):
+    return _recommend(spark, folder, BigramRecommender())
 
 
 @query
 def graph_recommend(spark, folder):
-    return _recommend(spark, folder, RG.GraphRecommender())
+    return _recommend(spark, folder, RG.GraphRecommender(), log="early")
 
 
 @query
@@ -743,7 +748,7 @@ def graph_cold_start(spark, folder):
 @query
 def graph_fallback(spark, folder):
     t = Tables(spark, folder)
-    scored = RG.graph_fallback(t.items, P.item_popularity(t.early, t.items))
+    scored = RG.graph_fallback(t.items, P.item_popularity(t.log, t.items))
     return RG.fallback_for_users(t.users, scored, K)
 
 
@@ -757,7 +762,7 @@ def embedding_cold_start(spark, folder):
 
 @query
 def embedding_forest_recommend(spark, folder):
-    return _recommend(spark, folder, RG.EmbeddingForestRecommender(embedding_dim=32, trees=20, depths=(8, 10), iterations=2))
+    return _recommend(spark, folder, RG.EmbeddingForestRecommender(embedding_dim=32, trees=20, depths=(8, 10), iterations=2), log="early")
 
 
 @query
@@ -767,7 +772,7 @@ def knn_recommend(spark, folder):
 
 @query
 def rf_recommend(spark, folder):
-    return _recommend(spark, folder, ForestRecommender(trees=50))
+    return _recommend(spark, folder, ForestRecommender())
 
 
 @query
@@ -782,12 +787,12 @@ def svm_recommend(spark, folder):
 
 @query
 def item2vec_recommend(spark, folder):
-    return _recommend(spark, folder, ItemVectorRecommender(size=16, iterations=2))
+    return _recommend(spark, folder, ItemVectorRecommender())
 
 
 @query
 def attention_recommend(spark, folder):
-    return _recommend(spark, folder, ItemVectorRecommender(size=16, iterations=2, attention=True))
+    return _recommend(spark, folder, ItemVectorRecommender(attention=True))
 
 
 @query
@@ -796,9 +801,8 @@ def score_sequences_mean_price(spark, folder):
     padded = S.padded_sequences(t.log, t.items, X.item_vocabulary(t.log), 100)
 
     def mean_price(batch: pd.DataFrame) -> pd.Series:
-        return pd.Series(
-            [float(np.mean(np.asarray(p)[np.asarray(m, dtype=bool)])) for p, m in zip(batch["prices"], batch["mask"])]
-        )
+        prices, real = np.stack(batch["prices"].to_numpy()), np.stack(batch["mask"].to_numpy()).astype(bool)
+        return pd.Series((prices * real).sum(axis=1) / real.sum(axis=1))
 
     return show(score_sequences(padded, mean_price), "score")
 
@@ -806,14 +810,14 @@ def score_sequences_mean_price(spark, folder):
 @query
 def feature_importance(spark, folder):
     t = Tables(spark, folder)
-    return ForestRecommender(trees=20, depth=5).fit(t.early, t.users, t.items).feature_importance()
+    return ForestRecommender().fit(t.log, t.users, t.items).feature_importance()
 
 
 @query
 def tuning_report(spark, folder):
     t = Tables(spark, folder)
     model = ForestRecommender(trees=10, depth=4)
-    data = model.prepare(t.early, t.users, t.items)
+    data = model.prepare(t.log, t.users, t.items)
     return model.tuning_report(data, folds=3, grid={"maxDepth": [3, 5], "numTrees": [5]})
 
 
@@ -859,7 +863,7 @@ def temporal_split(spark, folder):
 def evaluate_by_iteration(spark, folder):
     t = Tables(spark, folder)
     results = V.evaluate_by_iteration(
-        lambda: PopularityRecommender(by_revenue=True), t.log, t.users, t.items, TRAIN_STEPS, TEST_STEPS, K, user_frac=0.5
+        lambda: PopularityRecommender(by_revenue=True), t.log, t.users, t.items, TRAIN_STEPS, TEST_STEPS, K
     )
     return show(results, "value")
 
