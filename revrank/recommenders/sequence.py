@@ -38,15 +38,19 @@ class BigramRecommender(Recommender):
 
     Four stages fill the k places: bigram continuations, best prices for the
     user's taste, catalogue order, and catalogue order again for places that
-    recently seen items had taken.
+    seen items had taken. With ``seen="recent"`` the last rows of a user count as
+    seen, so that an item of long ago may be recommended again; with ``"log"`` all do.
     """
 
     name = "bigram"
 
-    def __init__(self, alpha: float = 1.0, min_count: float = 1.0, revenue_boost: float = 3.5):
+    def __init__(self, alpha: float = 1.0, min_count: float = 1.0, revenue_boost: float = 3.5, seen: str = "recent"):
+        if seen not in ("recent", "log"):
+            raise ValueError("seen is 'recent' or 'log'")
         self.alpha = alpha
         self.min_count = min_count
         self.revenue_boost = revenue_boost
+        self.seen = seen
 
     def fit(self, log, users, items):
         self.check(log, items)
@@ -106,7 +110,8 @@ class BigramRecommender(Recommender):
             F.coalesce("tier", F.lit("regular_buyer")).alias("tier"),
         )
         recent = cut_lineage(recent_history(log.join(wanted, "user_idx", "left_semi"), RECENT_ROWS).select("user_idx", "item_idx", "pos"))
-        recent_pairs = recent.select("user_idx", "item_idx").distinct()
+        rows = recent if self.seen == "recent" else log.join(wanted, "user_idx", "left_semi")
+        seen_pairs = cut_lineage(rows.select("user_idx", "item_idx").distinct())
         contexts = recent.groupBy("user_idx").agg(
             F.count("*").alias("n_recent"), F.max_by("item_idx", "pos").alias("context")
         )
@@ -114,14 +119,12 @@ class BigramRecommender(Recommender):
 
         pairs = ["user_idx", "item_idx", "score"]
         taken = cut_lineage(self._continuations(contexts.join(people, "user_idx"), known_items))
-        taken = self._add_by_taste(taken, people, known_items, recent_pairs if filter_seen_items else None, k)
+        taken = self._add_by_taste(taken, people, known_items, seen_pairs if filter_seen_items else None, k)
         catalogue = global_rank(known_items.select("item_idx", "price", "is_high_value"), "item_idx")
-        if catalogue.size < 2 * k + RECENT_ROWS:
-            # Only then can the stage before run out of items for a user.
-            taken = cut_lineage(self._add_in_order(taken, people, catalogue, None, k, 1.1, 0.2))
+        taken = cut_lineage(self._add_in_order(taken, people, catalogue, None, k, 1.1, 0.2))
         if filter_seen_items:
-            taken = taken.join(recent_pairs, ["user_idx", "item_idx"], "left_anti")
-            taken = self._add_in_order(taken, people, catalogue, recent_pairs, k, 1.05, 0.1)
+            taken = taken.join(seen_pairs, ["user_idx", "item_idx"], "left_anti")
+            taken = self._add_in_order(taken, people, catalogue, seen_pairs, k, 1.05, 0.1)
         return top_k_per_user(taken, k).select(*pairs)
 
     @staticmethod
@@ -130,7 +133,7 @@ class BigramRecommender(Recommender):
         free = F.lit(k) - F.coalesce("_n", F.lit(0))
         return people.join(counts, "user_idx", "left").withColumn("need", free).filter("need > 0").drop("_n")
 
-    def _add_by_taste(self, taken, people, known_items, recent_pairs, k):
+    def _add_by_taste(self, taken, people, known_items, seen_pairs, k):
         """Stage 2: unseen items by price and closeness to the user's mean price m.
 
         The score depends on the item through its price p alone. Below the
@@ -143,8 +146,8 @@ class BigramRecommender(Recommender):
         if open_users.isEmpty():
             return taken
         blocked = taken.select("user_idx", "item_idx")
-        if recent_pairs is not None:
-            blocked = blocked.unionByName(recent_pairs)
+        if seen_pairs is not None:
+            blocked = blocked.unionByName(seen_pairs)
         blocked = cut_lineage(blocked.join(open_users, "user_idx", "left_semi").distinct())
         listed = known_items.select("item_idx", "price", "is_high_value")
         dear_first = global_rank(listed, F.col("price").desc(), "item_idx")
@@ -197,15 +200,15 @@ class BigramRecommender(Recommender):
         lift = F.when(F.col("is_high_value"), F.lit(1.8)).otherwise(F.lit(1.4))
         chance = F.least(F.lit(0.75), (F.lit(0.15) + closeness * 0.25) * lift)
         scored = pairs.withColumn("exact", E.shown(chance * F.col("price") * 1.5, 9))
-        added = top_k_per_user(scored, "need", "exact").select("user_idx", "item_idx", E.shown("exact").alias("score"))
+        added = top_k_per_user(scored, "need", "exact", most=k).select("user_idx", "item_idx", E.shown("exact").alias("score"))
         return cut_lineage(taken.unionByName(added))
 
-    def _add_in_order(self, taken, people, catalogue, recent_pairs, k, lift, share):
+    def _add_in_order(self, taken, people, catalogue, seen_pairs, k, lift, share):
         """Stages 3 and 4: items in catalogue order for the places still free."""
         open_users = self._open_places(taken, people, k).select("user_idx", "need")
         blocked = taken.select("user_idx", "item_idx")
-        if recent_pairs is not None:
-            blocked = blocked.unionByName(recent_pairs)
+        if seen_pairs is not None:
+            blocked = blocked.unionByName(seen_pairs)
         found = first_unseen(open_users, catalogue, blocked, "need", ["item_idx", "price", "is_high_value"])
         boost = F.when(F.col("is_high_value"), F.lit(lift)).otherwise(F.lit(1.0))
         added = found.select("user_idx", "item_idx", E.shown(F.col("price") * boost * share).alias("score"))

@@ -38,7 +38,7 @@ def check_lists(found, log, k, filtered=True):
     return counts
 
 
-def staged_by_hand(users, items, log, k, filter_seen):
+def staged_by_hand(users, items, log, k, filter_seen, reach=20):
     """The four stages, one user at a time."""
     price = {r["item_idx"]: r["price"] for r in items.collect()}
     prices = list(price.values())
@@ -69,6 +69,7 @@ def staged_by_hand(users, items, log, k, filter_seen):
     for user in (r["user_idx"] for r in users.collect()):
         m, tier = profile.get(user, (50.0, "r"))
         recent = [i for *_, i, _ in rows.get(user, [])][-20:]
+        seen = recent if reach == 20 else [i for *_, i, _ in rows.get(user, [])]
         scores = {}
         for (a, b), w in kept.items():
             if recent and a == recent[-1]:
@@ -84,7 +85,7 @@ def staged_by_hand(users, items, log, k, filter_seen):
                     times = 1.5 + 0.6 * match
                 chance = (w + 1) / (total[a] + size[a]) * times * boost[a] * min(1.8, 0.4 * len(recent) + 1) * 2.2
                 scores[b] = max(0.05, min(0.85, chance)) * p * (p / mean * (1.2 if b in high else 1)) * 3.5
-        blocked = set(recent) if filter_seen else set()
+        blocked = set(seen) if filter_seen else set()
         taste = {}
         for i, p in price.items():
             if i not in scores and i not in blocked:
@@ -96,10 +97,10 @@ def staged_by_hand(users, items, log, k, filter_seen):
             if len(scores) < k and i not in scores:
                 scores[i] = price[i] * (1.1 if i in high else 1) * 0.2
         if filter_seen:
-            for i in recent:
+            for i in seen:
                 scores.pop(i, None)
             for i in sorted(price):
-                if len(scores) < k and i not in scores and i not in recent:
+                if len(scores) < k and i not in scores and i not in seen:
                     scores[i] = price[i] * (1.05 if i in high else 1) * 0.1
         for i in sorted(scores, key=lambda i: (-round(scores[i], 6), i))[:k]:
             out[user, i] = scores[i]
@@ -115,6 +116,17 @@ def test_bigram_stages(shop, filter_seen):
     assert all(abs(found[key] - want[key]) < 1e-5 for key in found)
 
 
+def test_bigram_leaves_out_the_whole_log_if_asked(spark, shop):
+    users, items, log = shop
+    more = spark.range(40).selectExpr("id + 12 AS item_idx", "'x' AS category", "double(id * 7 % 90 + 5) AS price", "0.1D AS item_attr_0", "0.2D AS item_attr_1")
+    items = items.unionByName(more)
+    long = log.unionByName(spark.range(30).selectExpr("0L AS user_idx", "id + 12 AS item_idx", "1.0D AS relevance", "0 AS __iter", "id - 100 AS l_orderkey"))
+    found = collected(BigramRecommender(seen="log").fit(long, users, items).recommend(long, K, users, items))
+    want = staged_by_hand(users, items, long, K, True, reach=None)
+    assert found.keys() == want.keys() and all(abs(found[key] - want[key]) < 1e-5 for key in found)
+    assert not found.keys() & {(r["user_idx"], r["item_idx"]) for r in long.collect()}
+
+
 def test_graph_scores_when_not_saturated(shop):
     users, items, log = shop
     model = GraphRecommender(n_components=3, max_iter=3, revenue_boost=0.05).fit(log, users, items)
