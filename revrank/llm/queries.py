@@ -77,4 +77,34 @@ QUERIES: dict[str, Query] = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_tool_calls": """
+WITH rows AS (SELECT * FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+asked AS (
+  SELECT conv_id, turn, text, 'call_' || turn AS call_id, min(turn) OVER (PARTITION BY conv_id) AS first_turn
+  FROM rows WHERE role = 'user'),
+answers AS (
+  SELECT conv_id, 'call_' || (turn - 1) AS call_id, count(*) AS n, min({'turn': turn, 'text': text}) AS r
+  FROM rows WHERE role = 'assistant' GROUP BY ALL),
+linked AS (
+  SELECT coalesce(a.conv_id, r.conv_id) AS conversation, coalesce(a.call_id, r.call_id) AS call_id, a.turn,
+         r.r.turn AS result_turn, CASE WHEN a.turn IS NOT NULL THEN 'reply' END AS name,
+         CASE WHEN a.turn IS NULL THEN 'orphan' WHEN r.n IS NULL THEN 'unanswered'
+              WHEN r.r.turn < a.turn THEN 'early' ELSE 'linked' END AS status,
+         coalesce(r.n, 0) AS n_results,
+         CASE WHEN a.turn IS NOT NULL THEN CAST(a.turn > first_turn AS INTEGER) END AS level,
+         CASE WHEN a.turn IS NULL THEN NULL WHEN a.text IS NULL THEN 'missing: text' ELSE '' END AS problems,
+         a.text, first_turn, r.r.text AS answer
+  FROM asked a FULL JOIN answers r ON a.conv_id = r.conv_id AND a.call_id = r.call_id),
+written AS (
+  SELECT *, '{' || concat_ws(',',
+      CASE WHEN turn IS NOT NULL THEN '"arguments":{' || concat_ws(',', '"text":' || CAST(to_json(text) AS VARCHAR),
+        CASE WHEN level = 1 THEN '"topic":{"$call":"call_' || first_turn || '"}' END, '"turn":' || turn) || '}' END,
+      '"id":"' || call_id || '"', '"level":' || level, '"name":"' || name || '"',
+      '"result":' || CAST(to_json(answer) AS VARCHAR), '"status":"' || status || '"',
+      '"valid":' || (problems = '')) || '}' AS json
+  FROM linked)
+SELECT conversation, call_id, turn, result_turn, name, status, n_results, level, problems, json,
+       row_number() OVER (ORDER BY conversation, coalesce(level, 2147483647), coalesce(turn, result_turn), call_id, json) AS position
+FROM written""",
+}
