@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revrank.llm import minhash, packing, quality, secrets, toxicity
-from revrank.llm.common import bounded_broadcast, table
+from revrank.llm.common import bounded_broadcast, table, text_batches
 from revrank.session import cut_lineage
 
 
@@ -32,6 +32,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Of rows that repeat a kept id one stays; rows without an id all stay.
     """
+    text_batches(spark)
     judged = cut_lineage(minhash.near_duplicates(docs).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("rows"), F.min("kept").alias("kept")))
     gone = cut_lineage(judged.filter("NOT kept").select("doc_id"))
     rest = docs.join(bounded_broadcast(gone), "doc_id", "left_anti")
@@ -45,12 +46,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Live-looking secrets are hidden; documents stay, with their new length."""
+    text_batches(spark)
     hidden = secrets.redact(docs)
     return hidden.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents and their places in sequences of 4096 tokens."""
+    text_batches(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -11,7 +11,19 @@ from revrank.session import cut_lineage
 BROADCAST_IDS = 2_000_000
 
 
+#: Rows in one Arrow batch, where a row may be a long text.
+BATCH_ROWS = 1_000
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Hand texts to Python tasks in small batches, unless the session asks for smaller ones."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    text_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

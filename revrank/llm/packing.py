@@ -17,7 +17,6 @@ import re
 import struct
 import zlib
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,114 +26,61 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from revrank.llm.pieces import Remembered
 from revrank.session import cut_lineage
 
 CAPACITY = 4096
 END = 1
+_END = struct.pack("<I", END)
 #: Rounds of the linear program, how fast prices fall, and the share of a length that one round may cover.
 ROUNDS, RATE, STEP = 40, 4.0, 0.5
-#: Words remembered by one worker, in each of two generations.
-REMEMBERED = 250_000
+#: Least fill of the solution's configurations that are rounded; beyond 1 none are.
+FILLS = (0.0, 0.98, 0.999, 1.0, 2.0)
 #: Rows that one task numbers within a length.
 ROWS_PER_PART = 200_000
 
 
-class Spelled(dict):
-    """How the tokenizer's model spells a sign, by its own pre-tokenizer."""
-
-    def __init__(self, pre_tokenizer):
-        super().__init__()
-        self.pre_tokenizer = pre_tokenizer
-
-    def __missing__(self, sign: str) -> str:
-        value = self[sign] = "".join(part for part, _ in self.pre_tokenizer.pre_tokenize_str(sign))
-        return value
-
-
-class Runs(dict):
-    """Ids of a run of letters, a digit, or a run of other signs."""
-
-    def __init__(self, words: WordIds):
-        super().__init__()
-        self.words, self.older = words, {}
-        self[" "] = _BETWEEN
-
-    def __missing__(self, run: str) -> bytes:
-        value = self.older.get(run)
-        if value is None:
-            spelled = run if run.isascii() else "".join(map(self.words.signs.__getitem__, run))
-            value = struct.pack(f"<{len(ids)}I", *ids) if (ids := [t.id for t in self.words.merge(spelled)]) else b""
-        self[run] = value
-        return value
-
-    def trim(self) -> None:
-        if len(self) > REMEMBERED:
-            self.older = dict(self)
-            self.clear()
-            self[" "] = _BETWEEN
-
-
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
-#: Words that the tokenizer takes apart as ``_RUNS`` does, whatever stands beside them.
-_PLAIN = re.compile(rf"[\x21-\x26\x28-\x3B\x3D-\x7E{_LATIN}]+")
-_RUNS = re.compile(rf"[{_LATIN}]+|[0-9]|[^{_LATIN}0-9 ]+| ")
-_BETWEEN = b"\xff\xff\xff\xff"
+#: Texts that the tokenizer takes apart as ``_RUNS`` does: no apostrophes, no "<", no letters that combine.
+_PLAIN = re.compile(rf"[ \n\t\x21-\x26\x28-\x3B\x3D-\x7E{_LATIN}]*")
+_RUNS = re.compile(rf"[{_LATIN}]+|[0-9]|[^ \n\t0-9{_LATIN}]+")
 
 
-class WordIds(dict):
-    """Ids of a word between spaces, as little-endian 32-bit bytes; words in use lately are remembered.
+class WordIds:
+    """Ids of texts, as the tokenizers library gives them for the same file.
 
     The tokenizer drops white space and joins nothing across it, so a text's ids are
-    those of its words. Those of a plain word are those of its runs of letters, digits
-    and other signs, which go straight to the tokenizer's BPE model.
+    those of its words; and those of a plain word are those of its runs of letters,
+    digits and other signs, which go straight to the tokenizer's BPE model. What
+    was in use lately is remembered, in bounded memory.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
-        self.merge = self.tokenizer.model.tokenize
-        self.signs = Spelled(self.tokenizer.pre_tokenizer)
-        self.runs = Runs(self)
-        self.older: dict[str, bytes] = {}
-        self[""] = b""
-
-    def __missing__(self, word: str) -> bytes:
-        value = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        self[word] = value
-        return value
-
-    def learn(self, words: set[str]) -> None:
-        """Know ``words``, but for those with signs that only the whole tokenizer can judge."""
-        new = words - self.keys()
-        if len(self) + len(new) > REMEMBERED:
-            self.older = dict(self)
-            self.clear()
-            self[""] = b""
-            new = words
-        kept = self.older.keys() & new
-        self.update((word, self.older[word]) for word in kept)
-        plain = [word for word in new - kept if _PLAIN.fullmatch(word)]
-        self.runs.trim()
-        found = b"".join(map(self.runs.__getitem__, _RUNS.findall(" ".join(plain).lower())))
-        self.update(zip(plain, found.split(_BETWEEN), strict=False))
-
-    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        """Ids of each text (null: empty) and ``END``."""
-        part: list[list[str]] = []
-        size = 0
-        for text in texts:
-            part.append((text or "").replace("\n", " ").replace("\t", " ").split(" "))
-            size += len(part[-1])
-            if size > 50_000:
-                self.learn(set().union(*part))
-                yield from map(self._ids, part)
-                part, size = [], 0
-        if part:
-            self.learn(set().union(*part))
-            yield from map(self._ids, part)
-
-    def _ids(self, words: list[str]) -> np.ndarray:
-        return np.append(np.frombuffer(b"".join(map(self.__getitem__, words)), dtype="<u4"), np.uint32(END)).astype("<u4")
+        self.signs = Remembered(lambda sign: "".join(part for part, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(sign)))
+        self.runs = Remembered(self._run)
+        self.words = Remembered(self._word)
+
+    def _run(self, run: str) -> bytes:
+        spelled = run if run.isascii() else "".join(map(self.signs.__getitem__, run))
+        ids = [t.id for t in self.tokenizer.model.tokenize(spelled)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _word(self, word: str) -> bytes:
+        if _PLAIN.fullmatch(word):
+            return self._runs(word)
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _runs(self, text: str) -> bytes:
+        return b"".join(map(self.runs.__getitem__, _RUNS.findall(text.lower())))
+
+    def encode(self, text: str | None) -> np.ndarray:
+        """Ids of a text (null: empty) and ``END``."""
+        if _PLAIN.fullmatch(text := text or ""):
+            raw = self._runs(text)
+        else:
+            raw = b"".join(map(self.words.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
+        return np.frombuffer(raw + _END, dtype="<u4")
 
 
 @functools.cache
@@ -152,8 +98,8 @@ def pieces(text: Column, tokenizer_file: str, capacity: int = CAPACITY) -> Colum
 
     @F.arrow_udf(T.ArrayType(_PIECES))
     def cut(texts: pa.Array) -> pa.Array:
-        out = []
-        for ids in word_ids(tokenizer_file).encode(texts.to_pylist()):
+        encode, out = word_ids(tokenizer_file).encode, []
+        for ids in map(encode, texts.to_pylist()):
             own = []
             for number, start in enumerate(range(0, len(ids), capacity)):
                 part = ids[start : start + capacity]
@@ -284,18 +230,33 @@ class Plan:
         return self.base[at] + nth // self.each[at], self.offset[at] + nth % self.each[at] * length
 
 
-def plan(histogram: np.ndarray) -> Plan:
-    """Configurations with exactly the pieces of ``histogram``."""
+def rounded(solution: Counter, histogram: np.ndarray, fill: float) -> Counter:
+    """Whole configurations for all of ``histogram``: those of ``solution`` filled to at least ``fill``, rounded
+    down, the fullest first, and best fit for what is left."""
     left = histogram.astype(np.int64).copy()
+    capacity = len(left) - 1
     whole: Counter = Counter()
-    for group, times in sorted(fractional(histogram).items(), key=lambda x: (-sum(x[0]), -x[1], x[0])):
+    for group, times in sorted(solution.items(), key=lambda x: (-sum(x[0]), -x[1], x[0])):
+        if sum(group) < fill * capacity:
+            break
         need = Counter(group)
         if taken := min(int(times + 1e-6), *(int(left[n]) // k for n, k in need.items())):
             whole[group] += taken
             for n, k in need.items():
                 left[n] -= k * taken
-    whole += best_fit(left)
-    rows, used, base = [], np.zeros(len(left), dtype=np.int64), 0
+    return whole + best_fit(left)
+
+
+def plan(histogram: np.ndarray) -> Plan:
+    """Configurations with exactly the pieces of ``histogram``.
+
+    Rounding loses what configurations that are not full leave open, so several bounds
+    on their fill are tried and the fewest sequences win; with equal numbers the one
+    with more of the linear program's solution does.
+    """
+    solution = fractional(histogram)
+    whole = min((rounded(solution, histogram, fill) for fill in FILLS), key=lambda w: sum(w.values()))
+    rows, used, base = [], np.zeros(len(histogram), dtype=np.int64), 0
     for group, times in sorted(whole.items()):
         offset = 0
         for n, k in sorted(Counter(group).items(), reverse=True):

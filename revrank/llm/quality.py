@@ -25,7 +25,7 @@ from revrank.session import cut_lineage
 
 PASSAGE = 64
 #: Most labelled documents to learn from.
-SAMPLE = 12_000
+SAMPLE = 8_000
 #: A document is taken as good from this score on.
 GOOD = 0.3
 HIDDEN, GATE, EPOCHS, BATCH, RATE, DECAY, SEED = 16, 8, 30, 128, 0.01, 1e-4, 5

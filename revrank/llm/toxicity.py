@@ -25,14 +25,14 @@ from revrank.llm.words import LETTERS, Words, slices
 from revrank.session import cut_lineage
 
 #: Most labelled documents to learn from, and most terms of a category to keep.
-SAMPLE, TERMS = 12_000, 1_500
+SAMPLE, TERMS = 6_000, 1_000
 #: A term is in at least so many of these documents, and so many standard errors from chance.
 LEAST_DOCUMENTS, LEAST_Z = 4, 3.0
 BEGINNINGS = (4, 5)
 #: Categories in the order of the chain, each a rule on the label table.
 CATEGORIES = {"junk": "quality = 0", "toxic_junk": "toxic = 1 AND quality = 0", "toxic": "toxic = 1"}
 TOXIC = 0.5
-FOLDS, STEPS, RATE, DECAY = 5, 150, 0.1, 0.02
+FOLDS, STEPS, RATE, DECAY = 4, 100, 0.1, 0.02
 DENSE = 3
 
 

@@ -24,7 +24,7 @@ NOT_SPACE[[0x20, *range(0x09, 0x0E)]] = False
 LETTERS = np.zeros(256, dtype=bool)
 LETTERS[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 
 def mix(values: np.ndarray) -> np.ndarray:
