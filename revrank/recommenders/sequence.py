@@ -225,7 +225,8 @@ class ItemVectorRecommender(Recommender):
     query is the mean of the vectors of the last rows or, with ``attention``,
     their softmax-weighted mean by similarity to the last item. The chance is
     exp(cosine − 1): the softmax numerator, whose denominator is the same for all
-    items of a user and does not change the order.
+    items of a user and does not change the order. An item without a vector, and
+    every item for a user without rows, has cosine 0.
     """
 
     name = "item_vectors"
@@ -263,16 +264,21 @@ class ItemVectorRecommender(Recommender):
         return unit_vectors(sums.select("user_idx", F.array(*[f"v{j}" for j in range(self.size)]).alias("vector")))
 
     def recommend(self, log, k, users, items, filter_seen_items=True):
-        queries = user_ids(users).join(self.user_queries(log).withColumnRenamed("vector", "query"), "user_idx")
-        described = items.join(self.item_vectors, "item_idx")
-        catalogue = by_price(described, "vector")
+        wanted = user_ids(users)
+        queries = cut_lineage(wanted.join(self.user_queries(log).withColumnRenamed("vector", "query"), "user_idx"))
+        catalogue = by_price(items.join(self.item_vectors, "item_idx", "left"), "vector")
+        seen = cut_lineage(log.select("user_idx", "item_idx").distinct()) if filter_seen_items else None
 
         def score(pairs: DataFrame) -> DataFrame:
-            chance = F.least(F.lit(1.0), F.exp(E.dot(F.col("query"), F.col("vector")) - 1.0))
+            cosine = F.coalesce(E.dot(F.col("query"), F.col("vector")), F.lit(0.0))
+            chance = F.least(F.lit(1.0), F.exp(cosine - 1.0))
             return pairs.withColumn("score", E.expected_revenue(chance, F.col("price")))
 
-        seen = log if filter_seen_items else None
-        return best_first_top_k(cut_lineage(queries), catalogue, seen, k, score, ["price", "vector"])
+        found = best_first_top_k(queries, catalogue, seen, k, score, ["price", "vector"])
+        # Without a query every item is equally near.
+        cold = first_unseen(wanted.join(queries, "user_idx", "left_anti"), catalogue, seen, k, ["item_idx", "price"])
+        by_price_alone = cold.select("user_idx", "item_idx", E.expected_revenue(F.exp(F.lit(-1.0)), F.col("price")).alias("score"))
+        return found.unionByName(by_price_alone)
 
 
 def score_sequences(

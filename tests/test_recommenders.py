@@ -299,7 +299,10 @@ def test_item_vectors_and_scorer(shop):
     users, items, log = shop
     for attention in (False, True):
         model = ItemVectorRecommender(size=3, iterations=2, attention=attention).fit(log, users, items)
-        check_lists(model.recommend(log, K, users, items), log, K)
+        counts = check_lists(model.recommend(log, K, users, items), log, K)
+        # Everyone gets what is left unseen, the user without rows too.
+        left = {r["user_idx"]: 12 - r["n"] for r in log.groupBy("user_idx").agg(F.countDistinct("item_idx").alias("n")).collect()}
+        assert counts == {u: min(K, left.get(u, 12)) for u in range(10) if left.get(u, 12)}
     padded = padded_sequences(log, items, item_vocabulary(log), 8)
     lengths = score_sequences(padded, lambda batch: pd.Series([float(sum(m)) for m in batch["mask"]])).collect()
     assert len(lengths) == log.select("user_idx").distinct().count() and max(r["score"] for r in lengths) == 8.0
