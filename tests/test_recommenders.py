@@ -235,6 +235,15 @@ def test_learners_find_a_planted_signal(planted, model, floor):
         assert len(names) == len(set(names)) and "price" in names[:4]
 
 
+def test_search_keeps_the_best_setting(planted):
+    users, items, log = planted
+    forest = ForestRecommender(trees=3, depth=1).fit_best(log, users, items, folds=2, grid={"maxDepth": [1, 4], "numTrees": [5]})
+    assert (forest.depth, forest.trees) == (4, 5) and forest.model.getNumTrees == 5
+    near = NeighbourRecommender(n=50).fit_best(log, users, items, ns=(3, 60), metrics=("euclidean",))
+    assert (near.n, near.metric) == (3, "euclidean")
+    check_lists(near.recommend(log, K, users, items), log, K)
+
+
 def by_every_pair(model, log, k, users, items):
     """Top k by scoring all pairs."""
     pairs = users.crossJoin(items.withColumn("price", E.clean_price("price")))
