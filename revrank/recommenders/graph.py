@@ -112,7 +112,8 @@ class GraphRecommender(Recommender):
 
     The factors are fitted on first use: with ``revenue_boost`` at or above about
     1.15 every chance reaches its cap whatever the factors are, and the ranking is
-    the unseen training items by price. That case is answered without them.
+    the unseen training items by price. That case is answered without them, provided
+    no relevance is negative, which fitting checks.
     """
 
     name = "graph"
@@ -128,6 +129,7 @@ class GraphRecommender(Recommender):
     ):
         self.n_components, self.alpha, self.max_iter = n_components, alpha, max_iter
         self.graph_weight, self.revenue_boost, self.seed = graph_weight, revenue_boost, seed
+        self.least_relevance = 0.0
         self._factors: tuple[DataFrame, DataFrame] | None = None
 
     def fit(self, log, users, items):
@@ -136,12 +138,13 @@ class GraphRecommender(Recommender):
         self.log = log.select("user_idx", "item_idx", "relevance")
         self.items = priced.select("item_idx", "price")
         self.popularity = cut_lineage(item_popularity(self.log, self.items).select("item_idx", "popularity"))
+        self.least_relevance = self.log.agg(F.min("relevance")).first()[0] or 0.0
         self._factors = None
         return self
 
     @property
     def saturated(self) -> bool:
-        return SMALLEST_PRODUCT * min(4.0, self.revenue_boost) >= WARM_CAP
+        return self.least_relevance >= 0 and SMALLEST_PRODUCT * min(4.0, self.revenue_boost) >= WARM_CAP
 
     def factors(self) -> tuple[DataFrame, DataFrame]:
         """Smoothed user and item factors, fitted once."""
