@@ -6,7 +6,7 @@ two signatures that differ in at most ``CHUNKS * (ERRORS + 1) - 1`` places have
 key in common (pigeonhole). With 10 chunks of 4 places and one error that is 19
 of 40 places; a pair of similarity 0.75 differs in 10 on average, and misses all
 keys with a probability of 1.5e-6. Pairs that share a key are confirmed on
-their full shingle sets.
+their full shingle sets, however many places differ.
 
 Groups of any size are worked through without listing their pairs:
 
@@ -19,7 +19,7 @@ Groups of any size are worked through without listing their pairs:
    that both have, as bits, and shingles beyond it that are in any other set.
 
 A pair inside one component is never needed, so the components are those of all
-links between signatures within the threshold.
+links between documents that share a key.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ from revrank.session import cut_lineage
 SHINGLE = 5
 CHUNKS, CHUNK, ERRORS, BITS = 10, 4, 1, 16
 PLACES = CHUNKS * CHUNK
-#: Every pair that differs in at most so many places is compared.
+#: Every pair that differs in at most so many places has a key in common.
 REACH = CHUNKS * (ERRORS + 1) - 1
 SEED = 7
 
@@ -142,11 +142,9 @@ def similar(n_common: Column, n_a: Column, n_b: Column, percent: int) -> Column:
 
 def confirmed(pairs: DataFrame, reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The ``pairs`` (a, b) whose full sets are similar enough."""
-    sized = pairs.join(reps.toDF("a", "n_a", "p_a"), "a").join(reps.toDF("b", "n_b", "p_b"), "b")
-    apart = F.aggregate(F.zip_with("p_a", "p_b", lambda x, y: (x != y).cast("int")), F.lit(0), lambda s, x: s + x)
-    near = cut_lineage(
-        sized.filter(F.least("n_a", "n_b") * 100 >= percent * F.greatest("n_a", "n_b")).filter(apart <= REACH).select("a", "b").distinct()
-    )
+    sizes = reps.select("id", "n")
+    sized = pairs.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b")
+    near = cut_lineage(sized.filter(F.least("n_a", "n_b") * 100 >= percent * F.greatest("n_a", "n_b")).select("a", "b").distinct())
     ids = cut_lineage(near.select(F.col("a").alias("id")).union(near.select("b")).distinct())
     sets = cut_lineage(texts.join(bounded_broadcast(ids), "id", "left_semi").select("id", shingle_set("text").alias("set")).distinct())
     both = near.join(sets.toDF("a", "s_a"), "a").join(sets.toDF("b", "s_b"), "b")

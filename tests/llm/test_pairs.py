@@ -91,6 +91,17 @@ def test_signatures_within_reach_share_a_key(spark):
     assert df.selectExpr("*").select(minhash.keys(df.a).alias("x"), minhash.keys(df.b).alias("y")).selectExpr("arrays_overlap(x, y) o").filter("NOT o").count() == 0
 
 
+def test_similar_pair_whose_signatures_are_far_apart(spark):
+    """31 of 41 shingles in common and a key too, but 20 of 40 places differ."""
+    words = [f"w2817_{i}" for i in range(40)]
+    texts = {1: " ".join(words), 2: " ".join([*words[:20], "other", *words[21:]])}
+    a, b = (np.array(s["places"]) for s in minhash.sketches([*texts.values()]))
+    apart = (a != b).reshape(minhash.CHUNKS, minhash.CHUNK).sum(axis=1)
+    assert apart.sum() > minhash.REACH and apart.min() <= minhash.ERRORS
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()} == {1: 1, 2: 1}
+
+
 def test_near_duplicates_of_odd_rows(odd, none):
     rows = minhash.near_duplicates(odd).collect()
     assert len(rows) == odd.count()
