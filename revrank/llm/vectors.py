@@ -1,12 +1,16 @@
-"""Near duplicates of vectors by sorted projection passes.
+"""Near duplicates of vectors by buckets of random signs.
 
-In every pass vectors are put in the order of a key, the concatenated signs of
-random projections, and each is compared with a bounded window of neighbours.
-Pairs similar enough are links; components join the links of all passes.
+In every pass the vectors of a label are parted by the signs of random
+projections, and each is compared with all others of its bucket. Pairs similar
+enough are links; components join the links of all passes.
 
 Equal vectors of a label are one class with a count, so copies of any number cost
-nothing. The number of passes follows from the size of the largest label: similar
-vectors have to agree in the signs that part it into windows in at least one pass.
+nothing. The number of signs follows from the label's size, the number of passes
+from the signs: similar vectors have to share a bucket in at least one pass. That
+does not depend on how many others share it. A label of one window's size is a
+single bucket, which is exact. A bucket of any size is compared whole: it is cut
+into blocks, and each pair of blocks is a task. Tasks count links and give
+spanning links of what is connected, so that links are never listed.
 """
 
 from __future__ import annotations
@@ -22,11 +26,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revrank.llm.common import components
-from revrank.operators.ranking import global_rank
+from revrank.operators.ranking import BROADCAST_ROWS, global_rank
 from revrank.session import cut_lineage
 
 LEAST = 0.98
-#: Neighbours on either side that are compared, and rows compared by one task at a time.
+#: Classes in a bucket if signs halve evenly, and rows of a block; a task compares two.
 WINDOW, BLOCK = 512, 1024
 SIGNS = 62
 #: Share of pairs at the least similarity that all passes together may miss.
@@ -69,12 +73,29 @@ def pass_keys(passes: int, seed: int = SEED):
     return keys
 
 
-def passes_for(largest: int, window: int, least: float, missed: float) -> int:
+def passes_for(signs: int, least: float, missed: float) -> int:
+    """Passes with so many signs that pairs at ``least`` share a bucket but for a share of ``missed``."""
+    if not signs:
+        return 1
     agree = 1 - math.acos(max(-1.0, min(1.0, least))) / math.pi
-    signs = max(1.0, math.log2(max(1, largest) / window))
     return max(LEAST_PASSES, math.ceil(math.log(missed) / math.log(1 - min(agree**signs, 1 - 1e-9))))
 
 
+def linked_within(ok: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix of links the first row it is connected with."""
+    root = np.arange(len(ok))
+    waiting = ok.any(axis=1)
+    while waiting.any():
+        first = int(waiting.argmax())
+        front = np.array([first])
+        waiting[first] = False
+        while len(front):
+            root[front] = first
+            front = np.flatnonzero(ok[front].any(axis=0) & waiting)
+            waiting[front] = False
+    return root
+
+
 def near_vectors(
     vectors: DataFrame,
     id_col: str = "vec_id",
@@ -100,51 +121,65 @@ def near_vectors(
     classes = usable.groupBy("label", "size", "digest").agg(F.min("id").alias("rep"), F.count("*").alias("rows"), F.min("vector").alias("vector"))
     # The number of a class is its own, since an id may repeat with other vectors.
     classes = cut_lineage(classes.withColumn("node", F.xxhash64("label", "size", "digest")))
-    largest = classes.groupBy("label", "size").count().agg(F.max("count")).first()[0] or 0
-    passes = passes_for(largest, window, least, missed)
-
-    keyed = classes.select("label", "size", "node", F.posexplode(pass_keys(passes, seed)("vector")).alias("pass", "key"))
+    # Labels of more than one window: at most one for each ``window`` classes.
+    large = classes.groupBy("label", "size").count().filter(F.col("count") > window)
+    large = cut_lineage(large.withColumn("signs", F.ceil(F.log2(F.col("count") / window)).cast("int")).drop("count"))
+    told = large.agg(F.count("*"), F.max("signs")).first()
+    most = min(SIGNS, told[1] or 0)
+    by_signs = [passes_for(k, least, missed) for k in range(most + 1)]
+
+    signs = F.least(F.coalesce("signs", F.lit(0)), F.lit(most))
+    signed = classes.join(F.broadcast(large) if told[0] <= BROADCAST_ROWS else large, ["label", "size"], "left").withColumn("signs", signs)
+    signed = signed.withColumn("keys", F.slice(pass_keys(max(by_signs), seed)("vector"), F.lit(1), F.array(*map(F.lit, by_signs))[F.col("signs")]))
+    signed = cut_lineage(signed.withColumn("keys", F.expr(f"transform(keys, k -> shiftright(k, {SIGNS} - signs))")))
+    keyed = signed.select("label", "size", "node", F.posexplode("keys").alias("pass", "key"))
     order = global_rank(keyed, "pass", "label", "size", "key", "node").items
-    ranks = order.groupBy("node").agg(F.transform(F.sort_array(F.collect_list(F.struct("pass", "rank"))), lambda r: r["rank"]).alias("ranks"))
-    placed = cut_lineage(classes.join(ranks, "node").select("node", "label", "size", "vector", "ranks"))
+    order = cut_lineage(order.withColumn("block", F.floor(F.col("rank") / BLOCK)))
 
-    spread = placed.select("*", F.posexplode("ranks").alias("pass", "rank"))
-    block = F.floor(F.col("rank") / BLOCK)
-    reach = F.floor((F.col("rank") + window) / BLOCK)
-    spread = spread.withColumn("block", F.explode(F.sequence(block, reach))).withColumn("own", F.col("block") == block)
+    # Buckets that reach over several blocks: at most one for each end of a block.
+    bucket = ["pass", "label", "size", "key"]
+    wide = order.groupBy(*bucket).agg(F.min("block").alias("low"), F.max("block").alias("high")).filter("low < high")
+    wide = cut_lineage(wide)
+    wide = F.broadcast(wide) if wide.count() <= BROADCAST_ROWS else wide
+    spread = order.join(wide, bucket, "left").join(signed.select("node", "rows", "vector", "keys"), "node")
+    spread = spread.withColumn("other", F.explode(F.sequence(F.coalesce("low", "block"), F.coalesce("high", "block"))))
+    spread = spread.select("*", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two")).drop("low", "high", "other")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches([*batches])
-        rank = table["rank"].to_numpy()
-        turn = np.argsort(rank, kind="stable")
-        rank, node, own = rank[turn], table["node"].to_numpy()[turn], table["own"].to_numpy()[turn]
-        label = np.unique(np.array([f"{a}:{b}:{c}" for a, b, c in zip(*(table[n].to_pylist() for n in ("pass", "label", "size")), strict=True)]), return_inverse=True)[1][turn]
-        number = table["pass"].to_numpy()[turn]
-        ranks = np.array(table["ranks"].to_pylist())[turn]
-        vectors = table["vector"].to_pylist()
-        a_out, b_out = [], []
-        for group in np.unique(label[own]):
-            at = np.flatnonzero(label == group)
-            x = np.array([vectors[turn[i]] for i in at], dtype=np.float64)
+        table = pa.Table.from_batches([*batches]).sort_by("rank").combine_chunks()
+        block, node, rows = (table[n].to_numpy() for n in ("block", "node", "rows"))
+        number, size, key = (table[n].to_numpy() for n in ("pass", "size", "key"))
+        label = np.array([str(x) for x in table["label"].to_pylist()])
+        vectors, keys = table["vector"].combine_chunks(), table["keys"].combine_chunks()
+        cut = np.zeros(len(node), dtype=bool)
+        for x in (number, size, key, label):
+            cut[1:] |= x[1:] != x[:-1]
+        starts = [0, *np.flatnonzero(cut), len(node)]
+        a_out, b_out, n_out = [], [], []
+        for start, end in zip(starts[:-1], starts[1:], strict=True):
+            if end - start < 2:
+                continue
+            x = vectors[start:end].flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(end - start, -1)
+            k = keys[start:end].flatten().to_numpy().reshape(end - start, -1)
             norm = np.sqrt((x * x).sum(axis=1))
-            mine = np.flatnonzero(own[at])
-            cosine = (x[mine] @ x.T) / norm[mine][:, None] / norm
-            apart = rank[at][mine][:, None] - rank[at]
-            ok = (cosine >= least) & (apart > 0) & (apart <= window)
-            i, j = np.nonzero(ok)
-            i = mine[i]
-            # A pair that an earlier pass compares is found there.
-            first = np.ones(len(i), dtype=bool)
-            for p in range(int(number[at[0]])):
-                first &= np.abs(ranks[at][i, p] - ranks[at][j, p]) > window
-            a_out.append(node[at][i[first]])
-            b_out.append(node[at][j[first]])
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*o, np.zeros(0, dtype=np.int64)])) for o in (a_out, b_out)], names=["a", "b"])
-
-    links = cut_lineage(spread.groupBy("block").applyInArrow(compare, "a long, b long"))
-    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    sizes = classes.select(F.col("node").alias("b"), F.col("rows").alias("others"))
-    beyond = both.join(sizes, "b").groupBy(F.col("a").alias("node")).agg(F.sum("others").alias("beyond"))
+            ok = (x @ x.T) / norm[:, None] / norm >= least
+            # A pair that shares a bucket in an earlier pass is found there.
+            for p in range(int(number[start])):
+                ok &= k[:, p][:, None] != k[:, p]
+            if block[0] != block[-1]:
+                ok &= block[start:end][:, None] != block[start:end]
+            ok = np.triu(ok, 1)
+            ok |= ok.T
+            at = np.flatnonzero(ok.any(axis=1))
+            a_out.append(node[start:end][at])
+            b_out.append(node[start:end][linked_within(ok)[at]])
+            n_out.append((ok[at] @ rows[start:end]).astype(np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([*o, np.zeros(0, dtype=np.int64)])) for o in (a_out, b_out, n_out)], names=["a", "b", "n"]
+        )
+
+    links = cut_lineage(spread.groupBy("one", "two").applyInArrow(compare, "a long, b long, n long"))
+    beyond = links.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("beyond"))
     found = components(links).toDF("node", "root")
     joined = classes.select("label", "size", "digest", "node", "rep", "rows").join(found, "node", "left").join(beyond, "node", "left")
     joined = cut_lineage(joined.withColumn("root", F.coalesce("root", "node")))

@@ -164,6 +164,25 @@ def test_dense_group_is_found_with_small_windows(spark):
     assert sum(got[i].n_links for i, _, _ in want) > 0.9 * sum(n for _, n, _ in want)
 
 
+def test_links_of_groups_denser_than_any_window(spark):
+    """A group of 5,000 alike, and 5,000 vectors with a common direction, some of them alike."""
+    draw = np.random.default_rng(12)
+    dense = draw.normal(size=32) + draw.normal(size=(5000, 32)) * 0.05
+    common_mean = 3.0 * np.ones(32) / 32**0.5 + draw.normal(size=(2500, 32)) * 1.45 / 32**0.5
+    common_mean = np.concatenate([common_mean, common_mean + draw.normal(size=(2500, 32)) * 0.05])
+    rows, want = [], {}
+    for label, x in enumerate((dense, common_mean)):
+        unit = x / np.linalg.norm(x, axis=1)[:, None]
+        want |= {len(rows) + i: int(n) - 1 for i, n in enumerate((unit @ unit.T >= 0.98).sum(axis=1))}
+        rows += [(len(rows) + i, v.tolist(), label) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(8)
+    got = {r.vec_id: r for r in vectors.near_vectors(df).collect()}
+    for ids in (range(5000), range(5000, 10000)):
+        found, all_links = sum(got[i].n_links for i in ids), sum(want[i] for i in ids)
+        assert all_links > 4000 and all_links * (1 - vectors.MISSED) <= found <= all_links
+    assert {got[i].component_id for i in range(5000)} == {0}
+
+
 def test_tool_calls(spark):
     calls = spark.createDataFrame(
         [
