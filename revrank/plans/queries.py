@@ -630,7 +630,7 @@ def pair_features(spark, folder):
 def nmf_factors(spark, folder):
     t = Tables(spark, folder)
     cells = G.interaction_cells(t.log, t.items, "price")
-    users, items = factorise.nmf(cells, size=8, iterations=5)
+    users, items = factorise.nmf(cells, size=32, iterations=100)
     return users.select(F.lit("user").alias("side"), F.col("user_idx").alias("id"), "vector").unionByName(
         items.select(F.lit("item").alias("side"), F.col("item_idx").alias("id"), "vector")
     )
@@ -640,7 +640,7 @@ def nmf_factors(spark, folder):
 def svd_factors(spark, folder):
     t = Tables(spark, folder)
     cells = G.interaction_cells(t.log, t.items, "price")
-    users, items = factorise.svd(cells, size=8, iterations=3)
+    users, items = factorise.svd(cells)
     users, items = factorise.absolute(users, "user_idx"), factorise.absolute(items, "item_idx")
     return users.select(F.lit("user").alias("side"), F.col("user_idx").alias("id"), "vector").unionByName(
         items.select(F.lit("item").alias("side"), F.col("item_idx").alias("id"), "vector")
