@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revrank.llm import licenses, minhash, packing, pieces, quality, secrets, spotsigs, toolcalls, toxicity, vectors
+from revrank.llm import language, licenses, minhash, packing, phrases, pieces, quality, secrets, spotsigs, toolcalls, toxicity, vectors
 from revrank.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of every language over all documents."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from those that are not held out."""
+    return language.classify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_spot_signatures": op1_spot_signatures,
     "op2_sentencepiece": op2_sentencepiece,
@@ -75,6 +85,8 @@ QUERIES: dict[str, Query] = {
     "op8_vector_near_dedup": op8_vector_near_dedup,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
+    "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_language": op13_language,
 }
 
 ORACLES: dict[str, str] = {
@@ -107,4 +119,34 @@ written AS (
 SELECT conversation, call_id, turn, result_turn, name, status, n_results, level, problems, json,
        row_number() OVER (ORDER BY conversation, coalesce(level, 2147483647), coalesce(turn, result_turn), call_id, json) AS position
 FROM written""",
+    "op12_phrase_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+totals AS (SELECT lang, count(*) AS n FROM starts GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase, count(*) AS f
+  FROM starts, (VALUES (1), (2), (3), (4)) AS sizes(k)
+  WHERE i + k - 1 <= len(w) GROUP BY ALL),
+often AS (SELECT *, string_split(phrase, ' ') AS w FROM grams WHERE f >= 30),
+above AS (
+  SELECT lang, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase, max(f) AS longer
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM often, (VALUES (2), (3)) AS sizes(m) WHERE m < k)
+  GROUP BY ALL),
+kept AS (
+  SELECT o.* FROM often o LEFT JOIN above a ON o.lang = a.lang AND o.phrase = a.phrase
+  WHERE o.k > 1 AND (a.longer IS NULL OR 100::HUGEINT * a.longer < 80::HUGEINT * o.f)),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM kept),
+scored AS (
+  SELECT c.lang, c.phrase, c.f AS a, x.f AS l, y.f AS r, c.cut, (2000000::HUGEINT * c.f) // (x.f + y.f) AS score
+  FROM cuts c
+  JOIN often x ON x.lang = c.lang AND x.phrase = array_to_string(list_slice(c.w, 1, c.cut), ' ')
+  JOIN often y ON y.lang = c.lang AND y.phrase = array_to_string(list_slice(c.w, c.cut + 1, c.k), ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
 }
