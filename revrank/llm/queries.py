@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revrank.llm import language, licenses, minhash, packing, phrases, pieces, quality, secrets, spotsigs, toolcalls, toxicity, vectors
+from revrank.llm import language, licenses, minhash, packing, phrases, pieces, quality, secrets, spotsigs, toolcalls, toxicity, tries, vectors
 from revrank.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie over all conversations."""
+    return tries.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 2000 best phrases of every language over all documents."""
     return phrases.collocations(table(spark, sf_dir, "documents"))
@@ -85,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op8_vector_near_dedup": op8_vector_near_dedup,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_phrase_collocations": op12_phrase_collocations,
     "op13_language": op13_language,
 }
@@ -119,6 +125,38 @@ written AS (
 SELECT conversation, call_id, turn, result_turn, name, status, n_results, level, problems, json,
        row_number() OVER (ORDER BY conversation, coalesce(level, 2147483647), coalesce(turn, result_turn), call_id, json) AS position
 FROM written""",
+    "op11_prefix_trie": r"""
+WITH turns AS (
+  SELECT conv_id AS c, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS tid,
+         strlen(coalesce(text, '')) AS size, turn
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT c, list(tid ORDER BY turn NULLS FIRST, tid) AS ids, list(size ORDER BY turn NULLS FIRST, tid) AS sizes, CAST(c AS VARCHAR) AS s
+  FROM turns GROUP BY c),
+sums AS (
+  SELECT *, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], range(0, 8 * length(s))), lambda crc, i:
+    CASE WHEN (CASE WHEN i % 8 = 0 THEN xor(crc, ord(substr(s, i // 8 + 1, 1))::BIGINT) ELSE crc END) & 1 = 1
+         THEN xor((CASE WHEN i % 8 = 0 THEN xor(crc, ord(substr(s, i // 8 + 1, 1))::BIGINT) ELSE crc END) >> 1, 3988292384)
+         ELSE (CASE WHEN i % 8 = 0 THEN xor(crc, ord(substr(s, i // 8 + 1, 1))::BIGINT) ELSE crc END) >> 1 END)) % 9 AS h
+  FROM own),
+rebuilt AS (
+  SELECT a.c, list_concat(coalesce(list_slice(b.ids, 1, a.h), []), list_slice(a.ids, a.h + 1, len(a.ids))) AS ids,
+         list_concat(coalesce(list_slice(b.sizes, 1, a.h), []), list_slice(a.sizes, a.h + 1, len(a.sizes))) AS sizes
+  FROM sums a LEFT JOIN own b ON b.c = a.c - a.c % 5),
+prefixes AS (SELECT c, ids, sizes, unnest(range(0, len(ids) + 1)) AS d FROM rebuilt),
+nodes AS (
+  SELECT list_slice(ids, 1, d) AS path, d, min(c) AS conv_id, count(*) AS n_convs,
+         CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * any_value(sizes[d]) END AS own_saved,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE len(ids) = d), '')) AS ends_sha256
+  FROM prefixes GROUP BY list_slice(ids, 1, d), d),
+kids AS (SELECT list_slice(path, 1, d - 1) AS path, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+full_nodes AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM nodes n LEFT JOIN kids k ON k.path = n.path AND k.d = n.d),
+upward AS (SELECT path, unnest(range(0, d + 1)) AS up, own_saved, CAST(n_children = 0 AS INTEGER) AS leaf FROM full_nodes),
+sums_up AS (SELECT list_slice(path, 1, up) AS path, up AS d, sum(own_saved) AS saved, sum(leaf) AS leaves FROM upward GROUP BY ALL)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, CAST(u.leaves AS BIGINT) AS n_leaves,
+       CAST(u.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN sums_up u ON u.path = n.path AND u.d = n.d
+LEFT JOIN nodes p ON n.d > 0 AND p.d = n.d - 1 AND p.path = list_slice(n.path, 1, n.d - 1)""",
     "op12_phrase_collocations": r"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang,
