@@ -68,9 +68,8 @@ def text_parts(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray
         own = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         for first in range(0, len(own), PART_CHARS):
             piece = own[first : first + PART_CHARS + LONGEST - 1]
-            more = len(piece) - (LONGEST - 1) if first + PART_CHARS < len(own) else len(piece)
             points.append(piece)
-            owner.append(np.where(np.arange(len(piece)) < more, i, -1))
+            owner.append(np.where(np.arange(len(piece)) < PART_CHARS, i, -1))
             size += len(piece)
             if size >= PART_CHARS:
                 yield np.concatenate(points), np.concatenate(owner)
