@@ -10,8 +10,8 @@
    node's own weight, are contracted to paths by pointer doubling. A node inside a path has a
    longer phrase of the same count around it and is dropped without any search.
 4. **Texts.** The corpus is read once more for the words of the grams that counted often
-   enough. This is an exact check as well: where two texts share one set of numbers, their
-   counts by text replace the count of the sum. Numbers can only add up, so none is missed.
+   enough. This is an exact check as well: where two texts share one set of numbers, they are
+   counted by text in a third reading. Shared numbers only add up, so no phrase is missed.
 
 Defined results: a null language is ``und``, a null text is empty, repeated rows count each,
 very long texts are read whole, in parts within a task. An empty table gives no rows, and so
@@ -34,7 +34,9 @@ from revrank.session import cut_lineage
 
 LONGEST = 4
 #: Bytes of text whose grams a task adds up at once.
-PART_BYTES = 1 << 22
+PART_BYTES = 1 << 21
+#: Texts a task of the second reading remembers to have written.
+KNOWN = 1 << 20
 #: Rows of sorted grams handled at once.
 SWEEP_ROWS = 1 << 19
 #: Bits that mark frequent grams for the second reading: 16 a gram, within these bounds (16 MB).
@@ -52,7 +54,7 @@ class Grams:
 
     def __init__(self, texts: list[bytes], langs: np.ndarray):
         words = Words(texts, _WORD)
-        self.words = words
+        self.words, self.langs = words, langs
         splits = np.cumsum(_SPLITS[words.data])[words.start]
         follows = np.zeros(len(words.start), dtype=bool)
         follows[:-1] = (words.doc[1:] == words.doc[:-1]) & (splits[1:] == splits[:-1])
@@ -248,40 +250,43 @@ def compacted_paths(grams: DataFrame) -> DataFrame:
     return at.select("high", "low", F.when(ring, F.col("high")).otherwise(F.col("path_high")).alias("path_high"), F.when(ring, F.col("low")).otherwise(F.col("path_low")).alias("path_low"), F.when(ring, F.lit(0)).otherwise(F.col("place")).alias("place"))
 
 
-def _texts(marks: np.ndarray):
-    """Grams whose numbers are marked, with their texts, and the number of words of each language."""
+def _texts(marks: np.ndarray, counted: bool):
+    """Grams whose numbers are marked, with their texts, and the number of words of each language.
+
+    With ``counted`` the occurrences in each part of text as ``n``; else a text comes once
+    a task (again if the memory of ``KNOWN`` texts is full), with ``n`` 0.
+    """
     mask = np.uint64(len(marks) * 8 - 1)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.zeros(0, dtype=np.uint64)
         for grams, langs in _grams(batches):
             doc = grams.words.doc
             columns: list[list] = [[], [], [], [], [], []]
-            n = np.bincount(doc, minlength=len(langs))
             total: dict[str, int] = {}
-            for lang, amount in zip(langs, n):
-                total[lang] = total.get(lang, 0) + int(amount)
-            for lang, amount in total.items():
-                for c, v in zip(columns, (0, 0, 0, lang, "", amount)):
-                    c.append(v)
+            for lang, amount in zip(langs, np.bincount(doc, minlength=len(langs)).tolist()):
+                total[lang] = total.get(lang, 0) + amount
             names = sorted(total)
+            for lang in names:
+                for c, v in zip(columns, (0, 0, 0, lang, "", total[lang])):
+                    c.append(v)
             kind = np.array([names.index(x) for x in langs], dtype=np.int64)[doc]
+            full = grams.words.hashes() ^ grams.langs[doc]
             for n_words in range(1, LONGEST + 1):
                 high, low = grams.keys(n_words)
                 spot = _spot(n_words, high, low) & mask
                 hit = (marks[(spot >> np.uint64(3)).astype(np.int64)] >> (spot & np.uint64(7)).astype(np.uint8)) & 1
                 at = np.flatnonzero((hit == 1) & (grams.numbers[:, n_words - 1] != 0))
-                if not len(at):
-                    continue
-                # Occurrences with equal numbers in one part are told apart by the full hashes of their words.
-                full = grams.words.hashes()
-                key = np.zeros(len(at), dtype=np.uint64)
+                # Grams with equal numbers are told apart by the full hashes of their words.
+                key = np.full(len(at), n_words, dtype=np.uint64)
                 for j in range(n_words):
                     key = mix(key * np.uint64(3) + full[at + j])
-                order = np.lexsort((key, low[at], high[at], kind[at]))
-                at, key = at[order], key[order]
-                first = _runs(kind[at], high[at], low[at], key)
-                amount = np.diff(first, append=len(at))
+                key, first, amount = np.unique(key, return_index=True, return_counts=True)
                 at = at[first]
+                if not counted:
+                    new = ~np.isin(key, known, assume_unique=True)
+                    known = np.concatenate([known, key[new]]) if len(known) < KNOWN else key
+                    at, amount = at[new], np.zeros(int(new.sum()), dtype=np.int64)
                 for c, v in zip(columns, ([n_words] * len(at), high[at].tolist(), low[at].tolist(), [names[i] for i in kind[at]], [grams.text(i, n_words) for i in at], amount.tolist())):
                     c.extend(v)
             yield pa.RecordBatch.from_arrays(
@@ -326,18 +331,19 @@ def counted_phrases(docs: DataFrame, least: int = 30, text_col: str = "text", la
     paths = compacted_paths(grams)
     # The node before an edge that isn't the first of its path lies within the path.
     inner = paths.filter("place > 0").select(F.lit(3).alias("n_words"), "high", F.shiftleft(F.shiftrightunsigned("low", 32), 32).alias("low"), F.lit(True).alias("within"))
-    found = texts.mapInArrow(_texts(_bits(grams)), "n_words int, high long, low long, lang string, phrase string, n long")
-    found = cut_lineage(found.groupBy("n_words", "high", "low", "lang", "phrase").agg(F.sum("n").alias("n_text")))
-    totals = found.filter("n_words = 0").select("lang", F.col("n_text").alias("n_all"))
-    keys = ["n_words", "high", "low"]
-    real = found.filter("n_words > 0").join(grams, keys)
-    alone = real.groupBy(*keys).agg(F.count("*").alias("n_texts")).filter("n_texts > 1")
-    real = real.join(alone, keys, "left").join(inner, keys, "left")
-    shared = F.col("n_texts").isNotNull()
-    counted = real.select(
-        "n_words", "lang", "phrase", F.when(shared, F.col("n_text")).otherwise(F.col("n")).alias("n"), (F.coalesce("within", F.lit(False)) & ~shared).alias("within")
-    )
-    return cut_lineage(counted.filter(F.col("n") >= least)), totals
+    keys, row = ["n_words", "high", "low"], ["n_words", "high", "low", "lang", "phrase"]
+    schema = "n_words int, high long, low long, lang string, phrase string, n long"
+    found = texts.mapInArrow(_texts(_bits(grams), counted=False), schema)
+    found = cut_lineage(found.groupBy(*row).agg(F.sum("n").alias("n_words_seen")))
+    totals = found.filter("n_words = 0").select("lang", F.col("n_words_seen").alias("n_all"))
+    real = found.filter("n_words > 0").select(*row).join(grams, keys).join(inner, keys, "left").withColumn("within", F.coalesce("within", F.lit(False)))
+    shared = cut_lineage(real.groupBy(*keys).agg(F.count("*").alias("n_texts")).filter("n_texts > 1").select(*keys))
+    if not shared.isEmpty():
+        recount = texts.mapInArrow(_texts(_bits(shared), counted=True), schema).join(shared, keys, "left_semi")
+        recount = recount.groupBy(*row).agg(F.sum("n").alias("n"), F.lit(False).alias("within"))
+        real = real.join(shared, keys, "left_anti").unionByName(recount, allowMissingColumns=True)
+    counted = real.filter(F.col("n") >= least).select("n_words", "lang", "phrase", "n", "within")
+    return cut_lineage(counted), totals
 
 
 def collocations(docs: DataFrame, least: int = 30, most: int = 2000, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
