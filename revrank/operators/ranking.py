@@ -20,6 +20,8 @@ from revrank.session import cut_lineage
 # Largest row count that is ever broadcast by hint. The count is known before
 # the hint is given; beyond it the join is shuffled.
 BROADCAST_ROWS = 500_000
+# Scores are rounded to six digits, so one may lie this much above its bound.
+BOUND_SLACK = 1e-6
 # Longest array of ranks generated inside one row.
 RANKS_PER_ROW = 1024
 
@@ -174,6 +176,8 @@ def best_first_top_k(
     need: str | None = None,
     first: int = 64,
     growth: int = 8,
+    refine: Callable[[DataFrame], DataFrame] | None = None,
+    counts: list[int] | None = None,
 ) -> DataFrame:
     """Exact top ``k`` unseen items per user for scores bounded by the item.
 
@@ -182,25 +186,30 @@ def best_first_top_k(
     ranks is scored for the users still open; a user closes when the k-th best
     score beats every bound to come. Stretches grow geometrically, so there are
     at most log(catalogue) rounds, and nobody is left with a partial answer.
-    ``need`` names a users column with a smaller, per-user k.
+    ``need`` names a users column with a smaller, per-user k. ``refine`` may lower the
+    bounds of a stretch's items when it is reached; a user does not score items whose bound
+    its k-th score already beats. ``counts`` gets the number of scored pairs of each round.
     """
     limit = F.lit(k) if need is None else F.col(need)
     keep = ["user_idx", "item_idx", "score"] + ([need] if need else [])
     closed: list[DataFrame] = []
     best: DataFrame | None = None
-    active, low, high = users, 0, min(first, catalogue.size)
+    active, low, high = users.withColumn("_least", F.lit(None).cast("double")), 0, min(first, catalogue.size)
     while True:
-        stretch = Catalogue(
-            catalogue.items.filter((F.col("rank") > low) & (F.col("rank") <= high)), high - low
-        )
+        own = catalogue.items.filter((F.col("rank") > low) & (F.col("rank") <= high))
+        stretch = Catalogue(cut_lineage(refine(own)) if refine else own, high - low)
         pairs = explode_ranks(active, F.lit(low + 1), F.lit(high))
         pairs = items_at_rank(pairs, stretch, ["item_idx", "bound", *item_columns])
+        pairs = pairs.filter(F.col("_least").isNull() | (F.col("bound") >= F.col("_least") - F.lit(BOUND_SLACK)))
         if seen is not None:
             # Of the seen pairs only those of this stretch's items are shuffled.
             names = stretch.items.select("item_idx")
             names = F.broadcast(names) if stretch.size <= BROADCAST_ROWS else names
             near = seen.select("user_idx", "item_idx").join(names, "item_idx", "left_semi").distinct()
             pairs = pairs.join(near, ["user_idx", "item_idx"], "left_anti")
+        pairs = pairs.drop("_least")
+        if counts is not None:
+            counts.append(pairs.count())
         scored = score(pairs).select(*keep)
         merged = scored if best is None else scored.unionByName(best)
         if high >= catalogue.size:
@@ -208,15 +217,16 @@ def best_first_top_k(
             break
         best = cut_lineage(top_k_per_user(merged, limit, most=k))
         next_bound = catalogue.items.filter(F.col("rank") == high + 1).select("bound").head()["bound"]
-        full = (
+        reached = (
             best.groupBy("user_idx")
             .agg(F.count("*").alias("_n"), F.min("score").alias("_last"), F.first(limit).alias("_limit"))
-            .filter((F.col("_n") >= F.col("_limit")) & (F.col("_last") > F.lit(next_bound)))
-            .select("user_idx")
+            .filter(F.col("_n") >= F.col("_limit"))
+            .select("user_idx", F.col("_last").alias("_least"))
         )
+        full = reached.filter(F.col("_least") > F.lit(next_bound)).select("user_idx")
         closed.append(best.join(full, "user_idx", "left_semi"))
         best = best.join(full, "user_idx", "left_anti")
-        active = active.join(full, "user_idx", "left_anti")
+        active = active.drop("_least").join(full, "user_idx", "left_anti").join(reached, "user_idx", "left")
         if active.isEmpty():
             break
         low, high = high, min(high * growth, catalogue.size)

@@ -347,8 +347,12 @@ def content_lists() -> str:
         BASE,
         top_k(f"SELECT user_idx, item_idx, {r6('c * price')} AS score FROM near WHERE c > 0"),
         things=f"SELECT *, sqrt({length}) AS len FROM (SELECT item_idx, price, {', '.join(columns)} FROM items)",
+        liked="SELECT user_idx, things.* FROM early JOIN things USING (item_idx) WHERE relevance > 0",
         tastes=f"""SELECT *, sqrt({length}) AS len FROM (
-            SELECT user_idx, {means} FROM early JOIN things USING (item_idx) WHERE relevance > 0 GROUP BY user_idx)""",
+            SELECT user_idx, {means} FROM liked GROUP BY user_idx
+            UNION ALL
+            SELECT u.user_idx, a.* FROM users u, (SELECT {means} FROM liked) a
+            WHERE NOT EXISTS (SELECT 1 FROM liked l WHERE l.user_idx = u.user_idx))""",
         near=f"""SELECT t.user_idx, i.item_idx, i.price, {cosine} AS c FROM tastes t, things i
             WHERE NOT EXISTS (SELECT 1 FROM early l WHERE l.user_idx = t.user_idx AND l.item_idx = i.item_idx)""",
     )

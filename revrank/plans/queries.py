@@ -762,7 +762,7 @@ def embedding_cold_start(spark, folder):
 
 @query
 def embedding_forest_recommend(spark, folder):
-    return _recommend(spark, folder, RG.EmbeddingForestRecommender(embedding_dim=32, trees=20, depths=(8, 10), iterations=2), log="early")
+    return _recommend(spark, folder, RG.EmbeddingForestRecommender())
 
 
 @query

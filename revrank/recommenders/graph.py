@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
@@ -9,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from revrank.functions import expressions as E
 from revrank.operators.factorise import nmf, svd
 from revrank.operators.features import minmax_per_user
+from revrank.operators.forests import product_range, tree_table, vector_range, with_bound
 from revrank.operators.graph import graph_smooth, interaction_cells, unit_cells
 from revrank.operators.profile import (
     item_popularity,
@@ -19,6 +22,7 @@ from revrank.operators.profile import (
     user_price_profile,
 )
 from revrank.operators.ranking import (
+    Catalogue,
     best_first_top_k,
     explode_ranks,
     filter_seen,
@@ -35,6 +39,10 @@ from revrank.session import cut_lineage
 # Smallest product of the warm-user factors, and their cap.
 SMALLEST_PRODUCT = 0.25 * 1.4 * 1.6 * 1.4
 WARM_CAP = 0.9
+# Entries of each embedding that the forests see, and of their product.
+WIDTH, SHORT = 32, 16
+# Items of like price in one box of the search.
+BOX_ITEMS = 64
 
 
 def price_moments(items: DataFrame) -> tuple:
@@ -255,7 +263,11 @@ def embedding_cold_start(items: DataFrame, scores: DataFrame, boost: float = 4.5
 
 
 class EmbeddingForestRecommender(Recommender):
-    """Singular-vector embeddings and profile features into two averaged forests."""
+    """Singular-vector embeddings and profile features into two averaged forests.
+
+    Users and items are searched by branch and bound: what the forests reach at most in a
+    box of items orders the boxes, and the items of a box that is reached are bounded alone.
+    """
 
     name = "embedding_forest"
 
@@ -310,6 +322,14 @@ class EmbeddingForestRecommender(Recommender):
         ]
         return self
 
+    def statistics(self) -> DataFrame:
+        """One row of model sizes."""
+        counts = self.people.agg(F.count("*").alias("n_users")), self.things.agg(F.count("*").alias("n_items"))
+        return counts[0].select(
+            "n_users", counts[1].select("n_items").scalar().alias("n_items"), F.lit(self.embedding_dim).alias("embedding_dim"),
+            F.lit(len(self.models)).alias("n_forests"), F.lit(sum(m.getNumTrees for m in self.models)).alias("n_trees"), F.lit(self.revenue_boost).alias("revenue_boost"),
+        )
+
     def _features(self, pairs: DataFrame) -> DataFrame:
         """First 32 of both vectors, four profile numbers, price, and a short dot.
 
@@ -317,14 +337,15 @@ class EmbeddingForestRecommender(Recommender):
         """
         return pair_features(pairs)
 
-    def recommend(self, log, k, users, items, filter_seen_items=True):
+    def recommend(self, log, k, users, items, filter_seen_items=True, counts: list[int] | None = None):
         seen = log if filter_seen_items else None
         warm, cold = split_cold_users(user_ids(users), self.log)
         cold_items = self.items.join(items.select("item_idx"), "item_idx", "left_semi")
         cold_scores = embedding_cold_start(cold_items, self.item_scores, self.revenue_boost)
         cold_rows = first_unseen(cold, by_score(cold_scores), seen, k, ["item_idx", "score"])
         things = self.things.join(items.select("item_idx"), "item_idx", "left_semi")
-        catalogue = by_price(things, "item_vector", "popularity", "value_score", factor=0.9)
+        people = cut_lineage(self.people.join(warm, "user_idx", "left_semi"))
+        catalogue, refine = self._bounded(things, people)
 
         def score(pairs: DataFrame) -> DataFrame:
             rows = self._features(pairs)
@@ -334,15 +355,49 @@ class EmbeddingForestRecommender(Recommender):
             low, high = F.col("price") * 0.05, F.col("price") * 0.9
             return rows.withColumn("score", F.greatest(low, F.least(high, mean * self.revenue_boost)))
 
-        people = self.people.join(warm, "user_idx", "left_semi")
-        warm_rows = best_first_top_k(
-            people, catalogue, seen, k, score, ["price", "item_vector", "popularity", "value_score"], first=16
-        )
+        columns = ["price", "item_vector", "popularity", "value_score"]
+        warm_rows = best_first_top_k(people, catalogue, seen, k, score, columns, first=16, refine=refine, counts=counts)
         columns = ["user_idx", "item_idx", "score"]
         return warm_rows.select(*columns).unionByName(cold_rows.select(*columns))
 
+    def _bounded(self, things: DataFrame, people: DataFrame) -> tuple[Catalogue, Callable[[DataFrame], DataFrame]]:
+        """Items in order of what the forests reach in their box, and how to lower an item's bound.
+
+        Boxes are runs of items of like price. A box is bounded with the box of all users;
+        an item of a box that is reached is bounded alone. The forests see the first
+        ``WIDTH`` entries of both vectors, four numbers, and a product of ``SHORT`` entries.
+        """
+        tables = [tree_table(model) for model in self.models]
+        ends = people.agg(*(f(c).alias(f"{f.__name__}_{c}") for c in ("avg_price", "activity") for f in (F.min, F.max))).first()
+        user_low, user_high = vector_range(people, "user_vector", min(WIDTH, self.embedding_dim))
+        numbers = [(ends[f"min_{c}"] or 0.0, ends[f"max_{c}"] or 0.0) for c in ("avg_price", "activity")]
+
+        def bounded(rows: DataFrame, low, high) -> DataFrame:
+            """``low`` and ``high``: columns of a box's ends by name."""
+            width = len(user_low)
+            vector_low, vector_high = ([side("item_vector")[j] for j in range(width)] for side in (low, high))
+            dot_low, dot_high = product_range(vector_low[:SHORT], vector_high[:SHORT], user_low[:SHORT], user_high[:SHORT])
+            arrays = []
+            for side, own, vector, users_, dot in ((0, low, vector_low, user_low, dot_low), (1, high, vector_high, user_high, dot_high)):
+                # A product's sum may round differently in another order.
+                slack = F.lit(1e-9 if side else -1e-9)
+                arrays.append(F.array(*map(F.lit, users_), *vector, *(F.lit(n[side]) for n in numbers), own("price"), own("popularity"), own("value_score"), dot + slack).cast("array<double>"))
+            reached = F.greatest(high("price") * 0.05, F.least(high("price") * 0.9, F.col("most") * self.revenue_boost + 1e-9))
+            return with_bound(rows, tables, *arrays).withColumn("bound", reached).drop("most")
+
+        ranked = by_price(things, "item_vector", "popularity", "value_score")
+        placed = ranked.items.drop("bound").withColumn("box", F.floor((F.col("rank") - 1) / F.lit(BOX_ITEMS))).drop("rank")
+        width = len(user_low)
+        sides = placed.groupBy("box").agg(
+            *(f(c).alias(f"{c}_{n}") for c in ("price", "popularity", "value_score") for f, n in ((F.min, "low"), (F.max, "high"))),
+            *(F.array(*(f(F.col("item_vector")[j]) for j in range(width))).alias(f"item_vector_{n}") for f, n in ((F.min, "low"), (F.max, "high"))),
+        )
+        boxes = bounded(sides, lambda c: F.col(f"{c}_low"), lambda c: F.col(f"{c}_high")).select("box", "bound")
+        catalogue = global_rank(placed.join(boxes, "box").drop("box"), F.col("bound").desc(), "item_idx")
+        return catalogue, lambda stretch: bounded(stretch.drop("bound"), F.col, F.col)
+
 
-def pair_features(pairs: DataFrame, width: int = 32, short: int = 16) -> DataFrame:
+def pair_features(pairs: DataFrame, width: int = WIDTH, short: int = SHORT) -> DataFrame:
     """Pair features as one vector column ``features``."""
     dot = E.dot(F.slice("user_vector", 1, short), F.slice("item_vector", 1, short))
     numbers = F.array("avg_price", "activity", "price", "popularity", "value_score", dot)

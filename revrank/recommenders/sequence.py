@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from revrank.functions import expressions as E
+from revrank.operators.cones import cone_index, cone_top_k
 from revrank.operators.factorise import svd
 from revrank.operators.knn import unit_vectors
 from revrank.operators.profile import high_value_items, price_percentiles, user_spending_profile
 from revrank.operators.ranking import (
-    best_first_top_k,
     explode_ranks,
     first_unseen,
     global_rank,
@@ -263,21 +264,18 @@ class ItemVectorRecommender(Recommender):
         )
         return unit_vectors(sums.select("user_idx", F.array(*[f"v{j}" for j in range(self.size)]).alias("vector")))
 
-    def recommend(self, log, k, users, items, filter_seen_items=True):
+    def recommend(self, log, k, users, items, filter_seen_items=True, counts: list[int] | None = None):
         wanted = user_ids(users)
         queries = cut_lineage(wanted.join(self.user_queries(log).withColumnRenamed("vector", "query"), "user_idx"))
-        catalogue = by_price(items.join(self.item_vectors, "item_idx", "left"), "vector")
         seen = cut_lineage(log.select("user_idx", "item_idx").distinct()) if filter_seen_items else None
-
-        def score(pairs: DataFrame) -> DataFrame:
-            cosine = F.coalesce(E.dot(F.col("query"), F.col("vector")), F.lit(0.0))
-            chance = F.least(F.lit(1.0), F.exp(cosine - 1.0))
-            return pairs.withColumn("score", E.expected_revenue(chance, F.col("price")))
-
-        found = best_first_top_k(queries, catalogue, seen, k, score, ["price", "vector"])
+        priced = items.select("item_idx", E.clean_price("price").alias("price")).join(self.item_vectors, "item_idx", "left")
+        no_kind = priced.select("item_idx", "price", F.lit(None).cast("string").alias("kind"), F.lit(0.0).alias("unit"), "vector")
+        index = cone_index(no_kind, self.size)
+        nothing = F.array().cast("array<string>").alias("kinds"), F.array().cast("array<double>").alias("weights")
+        found = cone_top_k(queries.select("user_idx", "query", *nothing), index, seen, k, lambda cosine: np.exp(cosine - 1.0), counts=counts)
         # Without a query every item is equally near.
-        cold = first_unseen(wanted.join(queries, "user_idx", "left_anti"), catalogue, seen, k, ["item_idx", "price"])
-        by_price_alone = cold.select("user_idx", "item_idx", E.expected_revenue(F.exp(F.lit(-1.0)), F.col("price")).alias("score"))
+        cold = first_unseen(wanted.join(queries, "user_idx", "left_anti"), by_price(items), seen, k, ["item_idx", "price"])
+        by_price_alone = cold.select("user_idx", "item_idx", E.shown(E.expected_revenue(F.exp(F.lit(-1.0)), F.col("price"))).alias("score"))
         return found.unionByName(by_price_alone)
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from revrank.functions import expressions as E
-from revrank.operators.profile import learn_vocabulary, positive_interactions
-from revrank.operators.ranking import best_first_top_k, first_unseen, global_rank
-from revrank.recommenders.base import Recommender, by_price, by_score, user_ids
+from revrank.operators.cones import cone_index, cone_top_k
+from revrank.operators.profile import positive_interactions
+from revrank.operators.ranking import first_unseen, global_rank
+from revrank.recommenders.base import Recommender, by_score, user_ids
+from revrank.session import cut_lineage
 from revrank.sources.adapters import attr_columns
 
 
@@ -87,7 +90,10 @@ class PriceRecommender(Recommender):
 class ContentBasedRecommender(Recommender):
     """Cosine of a user's mean liked item to other items, times the price.
 
-    Items are described by their category (one-hot) and z-scored attributes.
+    Items are described by their category (one-hot) and z-scored attributes. The one-hot
+    part is never spread out: an item has one category and a user the weights of those it
+    liked, so any number of categories will do. A user without likes gets the taste of all
+    likes together.
     """
 
     name = "content_based"
@@ -96,36 +102,45 @@ class ContentBasedRecommender(Recommender):
         self.similarity_threshold = similarity_threshold
 
     def _item_vectors(self, items: DataFrame) -> DataFrame:
-        parts = [F.when(F.col("category") == v, F.lit(1.0)).otherwise(F.lit(0.0)) for v in self.categories]
-        parts += [(F.col(c) - F.lit(mean)) / F.lit(std) for c, (mean, std) in self.attributes.items()]
-        return items.select("item_idx", "price", F.array(*parts).alias("vector")).withColumn(
-            "length", F.sqrt(E.dot(F.col("vector"), F.col("vector")))
-        )
+        parts = [(F.col(c) - F.lit(mean)) / F.lit(std) for c, (mean, std) in self.attributes.items()]
+        return items.select("item_idx", E.clean_price("price").alias("price"), F.col("category").cast("string").alias("kind"), F.array(*parts).cast("array<double>").alias("vector"))
+
+    def _tastes(self, liked: DataFrame, *key: str) -> DataFrame:
+        """(*key, query, kinds, weights): the mean of the liked items' vectors, of length 1."""
+        size = len(self.attributes)
+        rows = liked.groupBy(*key).agg(F.count("*").alias("n"), *[F.avg(F.col("vector")[j]).alias(f"v{j}") for j in range(size)])
+        weights = liked.filter("kind IS NOT NULL").groupBy(*key, "kind").agg(F.count("*").alias("n_kind"))
+        weights = weights.join(rows.select(*key, "n"), list(key)) if key else weights.crossJoin(rows.select("n"))
+        weights = weights.select(*key, "kind", (F.col("n_kind") / F.col("n")).alias("weight"))
+        listed = weights.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("kind", "weight"))).alias("known"))
+        joined = rows.join(listed, list(key), "left") if key else rows.crossJoin(listed)
+        known = F.coalesce("known", F.array().cast("array<struct<kind:string,weight:double>>"))
+        query = F.array(*[f"v{j}" for j in range(size)]).cast("array<double>")
+        told = joined.select(*key, query.alias("query"), known["kind"].alias("kinds"), known["weight"].alias("weights"))
+        length = F.sqrt(E.dot(F.col("query"), F.col("query")) + E.dot(F.col("weights"), F.col("weights")))
+        scaled = told.withColumn("_length", F.when(length > 0, length).otherwise(F.lit(1.0)))
+        return scaled.select(*key, *(F.transform(c, lambda x: x / F.col("_length")).alias(c) if c != "kinds" else F.col(c) for c in ("query", "kinds", "weights")))
 
     def fit(self, log, users, items):
         self.check(log, items)
-        self.categories = learn_vocabulary(items, "category")
         names = attr_columns(items, "item_attr_", None)
-        stats = items.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in names for f in (F.avg, F.stddev_pop)]).head()
-        self.attributes = {c: (stats[f"avg_{c}"], stats[f"stddev_pop_{c}"] or 1.0) for c in names}
-        size = len(self.categories) + len(names)
-        liked = positive_interactions(log).select("user_idx", "item_idx").join(self._item_vectors(items), "item_idx")
-        means = liked.groupBy("user_idx").agg(*[F.avg(F.col("vector")[j]).alias(f"v{j}") for j in range(size)])
-        self.user_vectors = means.select("user_idx", F.array(*[f"v{j}" for j in range(size)]).alias("taste")).withColumn(
-            "taste_length", F.sqrt(E.dot(F.col("taste"), F.col("taste")))
-        )
+        stats = items.agg(F.count("*").alias("n"), *[f(c).alias(f"{f.__name__}_{c}") for c in names for f in (F.avg, F.stddev_pop)]).head()
+        self.attributes = {c: (stats[f"avg_{c}"] or 0.0, stats[f"stddev_pop_{c}"] or 1.0) for c in names}
+        liked = cut_lineage(positive_interactions(log).select("user_idx", "item_idx").join(self._item_vectors(items), "item_idx"))
+        self.user_vectors = cut_lineage(self._tastes(liked, "user_idx"))
+        self.shared_taste = cut_lineage(self._tastes(liked))
         return self
 
-    def recommend(self, log, k, users, items, filter_seen_items=True):
-        catalogue = by_price(self._item_vectors(items), "vector", "length")
-        known = user_ids(users).join(self.user_vectors, "user_idx")
-
-        def score(pairs: DataFrame) -> DataFrame:
-            lengths = F.col("taste_length") * F.col("length")
-            cosine = F.when(lengths > 0, E.dot(F.col("taste"), F.col("vector")) / lengths).otherwise(F.lit(0.0))
-            near = pairs.withColumn("_cos", F.round(cosine, 9)).filter(F.col("_cos") > self.similarity_threshold)
-            return near.withColumn("score", E.shown(F.col("_cos") * F.col("price")))
-
-        return best_first_top_k(
-            known, catalogue, log if filter_seen_items else None, k, score, ["price", "vector", "length"]
+    def recommend(self, log, k, users, items, filter_seen_items=True, counts: list[int] | None = None):
+        wanted = user_ids(users)
+        known = wanted.join(self.user_vectors, "user_idx")
+        unknown = wanted.join(self.user_vectors, "user_idx", "left_anti").crossJoin(F.broadcast(self.shared_taste))
+        things = self._item_vectors(items)
+        has_kind = F.when(F.col("kind").isNotNull(), F.lit(1.0)).otherwise(F.lit(0.0))
+        length = F.sqrt(has_kind + E.dot(F.col("vector"), F.col("vector")))
+        scaled = things.withColumn("_length", F.when(length > 0, length).otherwise(F.lit(1.0)))
+        scaled = scaled.select("item_idx", "price", "kind", (has_kind / F.col("_length")).alias("unit"), F.transform("vector", lambda x: x / F.col("_length")).alias("vector"))
+        index = cone_index(scaled, len(self.attributes))
+        return cone_top_k(
+            known.unionByName(unknown), index, log if filter_seen_items else None, k, lambda cosine: np.round(cosine, 9), above=self.similarity_threshold, counts=counts
         )
