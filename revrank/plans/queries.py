@@ -767,7 +767,20 @@ def embedding_forest_recommend(spark, folder):
 
 @query
 def knn_recommend(spark, folder):
-    return _recommend(spark, folder, NeighbourRecommender())
+    """Lists of the best setting of the whole grid."""
+    t = Tables(spark, folder)
+    model = NeighbourRecommender().fit_best(t.log, t.users, t.items)
+    return model.recommend(t.log, K, t.users, t.items).select("user_idx", "item_idx", "score")
+
+
+@query
+def knn_tuning(spark, folder):
+    """Accuracy of every number of neighbours and metric over five folds of the whole log."""
+    t = Tables(spark, folder)
+    model = NeighbourRecommender()
+    found = model.search(model.prepare(t.log, t.users, t.items))
+    rows = [(setting["n"], setting["metric"], round(right, 6)) for setting, right in found]
+    return spark.createDataFrame(rows, "n int, metric string, accuracy double")
 
 
 @query

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from revrank.functions import expressions as E
 from revrank.operators.features import item_vocabulary
+from revrank.operators.knn import knn_index, knn_join, knn_search
 from revrank.operators.ranking import global_rank, grouped_top_k, top_k_per_user
 from revrank.operators.sequences import padded_sequences
 from revrank.recommenders.graph import EmbeddingForestRecommender, GraphRecommender
@@ -239,11 +240,51 @@ def test_search_keeps_the_best_setting(planted):
     users, items, log = planted
     forest = ForestRecommender(trees=3, depth=1).fit_best(log, users, items, folds=2, grid={"maxDepth": [1, 4], "numTrees": [5]})
     assert (forest.depth, forest.trees) == (4, 5) and forest.model.getNumTrees == 5
-    near = NeighbourRecommender(n=50).fit_best(log, users, items, ns=(3, 60), metrics=("euclidean",))
+    near = NeighbourRecommender(n=50).fit_best(log, users, items, ns=(3, 400), metrics=("euclidean",))
     assert (near.n, near.metric) == (3, "euclidean")
     check_lists(near.recommend(log, K, users, items), log, K)
 
 
+def test_neighbour_grid_against_all_distances(shop):
+    users, items, log = shop
+    model = NeighbourRecommender()
+    data = model.prepare(log, users, items)
+    found = {(s["n"], s["metric"]): right for s, right in model.search(data, ns=(1, 3, 10), folds=3)}
+    rows = sorted((r.user_idx, r.item_idx, r.label, tuple(r.features.toArray())) for r in data.collect())
+    folds = {(r.user_idx, r.item_idx): r.fold for r in data.select("user_idx", "item_idx", E.hash_bucket(F.concat_ws("-", "user_idx", "item_idx"), 3).alias("fold")).collect()}
+    points = np.array([r[3] for r in rows])
+    unit = points / np.linalg.norm(points, axis=1)[:, None]
+    away = {
+        "euclidean": np.sqrt(((points[:, None] - points) ** 2).sum(axis=2)),
+        "manhattan": np.abs(points[:, None] - points).sum(axis=2),
+        "cosine": 1 - unit @ unit.T,
+    }
+    for (n, metric), right in found.items():
+        shares = []
+        for fold in range(3):
+            hits = []
+            for i, r in enumerate(rows):
+                if folds[r[:2]] == fold:
+                    others = [j for j, o in enumerate(rows) if folds[o[:2]] != fold]
+                    near = sorted(others, key=lambda j: (round(away[metric][i, j], 6), j))[:n]
+                    hits.append((sum(rows[j][2] for j in near) / n > 0.5) == (r[2] > 0.5))
+            if hits:
+                shares.append(sum(hits) / len(hits))
+        assert abs(right - sum(shares) / len(shares)) < 1e-9
+
+
+def test_index_serves_several_searches(spark):
+    random = np.random.default_rng(3)
+    points = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(random.normal(size=(300, 3)))], "point_id long, vector array<double>")
+    asked = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(random.normal(size=(20, 3)))], "query_id long, vector array<double>")
+    index = knn_index(points, "manhattan", 7, pivots=9, block_rows=11)
+    for n in (1, 7):
+        one, other = (sorted(map(tuple, f.select("query_id", "neighbour", "point_id", "distance").collect())) for f in (knn_search(asked, index, n), knn_join(asked, points, n, "manhattan")))
+        assert one == other and len(one) == 20 * n
+    with pytest.raises(ValueError):
+        knn_search(asked, index, 8)
+
+
 def by_every_pair(model, log, k, users, items):
     """Top k by scoring all pairs."""
     pairs = users.crossJoin(items.withColumn("price", E.clean_price("price")))
