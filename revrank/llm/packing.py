@@ -3,11 +3,16 @@
 Documents are tokenised and cut into pieces of at most ``CAPACITY`` tokens; only
 the histogram of piece lengths, at most ``CAPACITY`` numbers, reaches the driver.
 There the linear program over configurations (how many pieces of each length
-share a sequence) is solved by multiplicative weights: lengths carry prices, a
-knapsack over them finds the dearest configurations, and the prices of lengths
-that these cover fall. Its solution is rounded down, and the pieces left over,
-whose number does not depend on the corpus, go best fit into what they need.
+share a sequence) is solved by multiplicative weights: lengths carry prices, which
+fall as they are covered; a knapsack over prices finds the next configuration, which
+is taken as often as a step allows, until every length is covered. Steps are whole
+numbers, so rounding only undoes the least filled configurations, at most the largest of
+``UNDONE`` of all sequences or ``FEW``, and packs their pieces best fit.
 Every piece then finds its place from its rank among the pieces of its length.
+
+Defined results: a null text is empty and has one piece with the end id; repeated rows and ids
+are packed each by themselves; very long texts are encoded whole and cut into pieces; an empty
+table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,10 +37,14 @@ from revrank.session import cut_lineage
 CAPACITY = 4096
 END = 1
 _END = struct.pack("<I", END)
-#: Rounds of the linear program, how fast prices fall, and the share of a length that one round may cover.
-ROUNDS, RATE, STEP = 40, 4.0, 0.5
-#: Least fill of the solution's configurations that are rounded; beyond 1 none are.
-FILLS = (0.0, 0.98, 0.999, 1.0, 2.0)
+#: How fast the price of a token falls with the share of its length that is covered.
+RATE = 0.02
+#: Share of a length that one step may cover, and lengths that one knapsack chooses from.
+STEP, CHOICE = 0.5, 192
+#: Phases at most, rounds after which none begins, and how near the bound ends them.
+PHASES, ROUNDS, GAP = 24, 12_000, 0.002
+#: Shares of the sequences that rounding tries to undo (the fewest sequences win), and how many it may at least.
+UNDONE, FEW = (0.0, 0.001, 0.01, 0.02, 0.04), 8
 #: Rows that one task numbers within a length.
 ROWS_PER_PART = 200_000
 
@@ -110,69 +119,92 @@ def pieces(text: Column, tokenizer_file: str, capacity: int = CAPACITY) -> Colum
     return cut(text)
 
 
-def knapsack(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Dearest content of every capacity, and the length last put into it (0: one token stays empty)."""
-    best, last = np.zeros(capacity + 1), np.zeros(capacity + 1, dtype=np.int64)
-    for room in range(1, capacity + 1):
-        fits = np.searchsorted(lengths, room, "right")
-        best[room] = best[room - 1]
-        if fits:
-            worth = best[room - lengths[:fits]] + prices[:fits]
-            at = int(worth.argmax())
-            if worth[at] > best[room]:
-                best[room], last[room] = worth[at], lengths[at]
-    return best, last
-
-
-def content(last: np.ndarray, room: int) -> list[int]:
+def knapsack(prices: np.ndarray, lengths: np.ndarray, copies: np.ndarray, room: int) -> list[int]:
+    """Dearest content of ``room``, with at most so many (and three) pieces of each length."""
+    sizes, worth = [], []
+    for price, length, most in zip(prices.tolist(), lengths.tolist(), np.minimum(copies, 3).tolist()):
+        for times in ((1,), (1, 1), (1, 2))[most - 1]:
+            if times * length <= room:
+                sizes.append(times * length)
+                worth.append((times * price, times, length))
+    best = np.zeros(room + 1)
+    taken = np.zeros((len(sizes), room + 1), dtype=bool)
+    for own, size, (value, _, _) in zip(taken, sizes, worth):
+        offered = best[: room + 1 - size] + value
+        np.greater(offered, best[size:], out=own[size:])
+        np.maximum(offered, best[size:], out=best[size:])
     out = []
-    while room > 0:
-        if last[room]:
-            out.append(int(last[room]))
-        room -= int(last[room]) or 1
+    for own, size, (_, times, length) in zip(taken[::-1], sizes[::-1], worth[::-1]):
+        if own[room]:
+            out += [length] * times
+            room -= size
     return out
 
 
-def fractional(histogram: np.ndarray, rounds: int = ROUNDS, rate: float = RATE, step: float = STEP) -> Counter:
-    """Configurations and how often, from ``rounds`` of multiplicative weights.
+def covering(histogram: np.ndarray, base: np.ndarray, rate: float = RATE, step: float = STEP, choice: int = CHOICE, seed: int = 1) -> list[tuple[tuple, int]]:
+    """Configurations and how often, in the order they were taken; together exactly all pieces.
 
-    ``histogram[n]`` is the number of pieces of length n. In each round one knapsack
-    gives, for every length not yet covered, the dearest configuration with a piece of
-    it. The dearest of these are taken first, and a round covers at most ``step`` of a
-    length; its price then falls exponentially with what has been covered,
-    and is nothing once all of it is.
+    ``histogram[n]`` is the number of pieces of length n. A piece's price is ``base[n]`` ×
+    exp(-``rate`` × the covered share of its length), so lengths are covered evenly. Each
+    round the least covered length is put into a sequence and a knapsack over it and the
+    ``choice`` next least covered lengths fills the rest; this is taken until one of its lengths is
+    used up or a share ``step`` of one is covered. The number of rounds depends on the number of
+    lengths, not on the corpus.
     """
+    random = np.random.default_rng(seed)
     capacity = len(histogram) - 1
-    lengths = np.flatnonzero(histogram)
-    lengths = lengths[lengths < capacity]
-    found: Counter = Counter()
-    if not len(lengths):
-        return found
-    wanted = histogram[lengths].astype(float)
-    place = np.zeros(capacity + 1, dtype=np.int64)
-    place[lengths] = np.arange(len(lengths))
-    prices, covered = lengths / capacity, np.zeros(len(lengths))
-    for _ in range(rounds):
-        _, last = knapsack(prices, lengths, capacity)
-        open_ = np.flatnonzero(covered < wanted - 1e-9)
-        if not len(open_):
-            break
-        offered = {tuple(sorted([int(lengths[i]), *content(last, capacity - int(lengths[i]))], reverse=True)) for i in open_}
-        worth = {group: prices[place[list(group)]].sum() for group in offered}
-        allowed = np.minimum(wanted - covered, wanted * step)
-        gained = np.zeros(len(lengths))
-        for group in sorted(offered, key=lambda g: (-worth[g], g)):
-            need = Counter(group)
-            own, each = place[list(need)], np.array([*need.values()])
-            if (taken := (allowed[own] / each).min()) > 1e-9:
-                found[group] += taken
-                allowed[own] -= taken * each
-                gained[own] += taken * each
-        covered += gained
-        prices = np.where(covered < wanted - 1e-9, (lengths / capacity) * np.exp(-rate * covered / wanted), 0.0)
+    found = [((capacity,), int(histogram[capacity]))] if histogram[capacity] else []
+    lengths = np.flatnonzero(histogram[:capacity])
+    wanted = histogram[lengths]
+    left = wanted.copy()
+    while len(open_ := np.flatnonzero(left)):
+        covered = 1.0 - left[open_] / wanted[open_]
+        first = open_[np.argmin(covered - lengths[open_] * 1e-9)]
+        # One half are the least covered lengths, the other any: short lengths alone would not fill a sequence.
+        order = np.where(random.random(len(open_)) < 0.5 * choice / len(open_), -1.0, covered + random.random(len(open_)) * 0.05)
+        chosen = open_ if len(open_) <= choice else open_[np.argpartition(order, choice)[:choice]]
+        prices = base[lengths[chosen]] * np.exp(-rate * (1.0 - left[chosen] / wanted[chosen]))
+        copies = left[chosen] - (chosen == first)
+        chosen, prices, copies = chosen[copies > 0], prices[copies > 0], copies[copies > 0]
+        group = tuple(sorted([int(lengths[first]), *knapsack(prices, lengths[chosen], copies, capacity - int(lengths[first]))], reverse=True))
+        need = Counter(group)
+        at, each = np.searchsorted(lengths, list(need)), np.array([*need.values()])
+        times = max(1, int((np.minimum(left[at], np.ceil(wanted[at] * step)) // each).min()))
+        found.append((group, times))
+        left[at] -= times * each
     return found
 
 
+def solution(histogram: np.ndarray) -> list[tuple[tuple, int]]:
+    """The covering with the fewest sequences of a few phases.
+
+    Where sequences can be filled, every token costs the same, and the first phase is near the
+    bound that tokens set. Else pieces have to bear the room that stays empty around them: each
+    configuration's cost is dealt to its pieces by their prices, and a length's next
+    price is multiplied by what it has borne.
+    """
+    capacity = len(histogram) - 1
+    bound = -(-int((histogram * np.arange(capacity + 1)).sum()) // capacity)
+    base = np.arange(capacity + 1) / capacity
+    best: list[tuple[tuple, int]] = []
+    fewest, rounds = None, 0
+    for _ in range(PHASES):
+        found = covering(histogram, base)
+        n = sum(times for _, times in found)
+        if fewest is None or n < fewest:
+            best, fewest = found, n
+        rounds += len(found)
+        if n <= bound * (1 + GAP) + 1 or rounds >= ROUNDS:
+            break
+        borne = np.zeros(capacity + 1)
+        for group, times in found:
+            worth = base[list(group)].sum()
+            for n in group:
+                borne[n] += times / worth
+        base = np.where(histogram > 0, base * borne / np.maximum(histogram, 1), base)
+    return best
+
+
 def best_fit(left: np.ndarray) -> Counter:
     """Configurations for the histogram ``left``: longest first, each into the fullest sequence with room.
 
@@ -230,32 +262,27 @@ class Plan:
         return self.base[at] + nth // self.each[at], self.offset[at] + nth % self.each[at] * length
 
 
-def rounded(solution: Counter, histogram: np.ndarray, fill: float) -> Counter:
-    """Whole configurations for all of ``histogram``: those of ``solution`` filled to at least ``fill``, rounded
-    down, the fullest first, and best fit for what is left."""
-    left = histogram.astype(np.int64).copy()
-    capacity = len(left) - 1
+def rounded(found: list[tuple[tuple, int]], capacity: int, undone: float) -> Counter:
+    """Whole configurations: of ``found`` the least filled and then the last ones are undone, a share ``undone``
+    of all sequences (and a few at least), and their pieces packed best fit."""
     whole: Counter = Counter()
-    for group, times in sorted(solution.items(), key=lambda x: (-sum(x[0]), -x[1], x[0])):
-        if sum(group) < fill * capacity:
-            break
-        need = Counter(group)
-        if taken := min(int(times + 1e-6), *(int(left[n]) // k for n, k in need.items())):
-            whole[group] += taken
-            for n, k in need.items():
-                left[n] -= k * taken
+    left = np.zeros(capacity + 1, dtype=np.int64)
+    allowed = max(FEW, int(undone * sum(times for _, times in found))) if undone else 0
+    for group, times in sorted(reversed(found), key=lambda x: sum(x[0])):
+        loose = min(times, allowed)
+        allowed -= loose
+        for n in group:
+            left[n] += loose
+        if times > loose:
+            whole[group] += times - loose
     return whole + best_fit(left)
 
 
 def plan(histogram: np.ndarray) -> Plan:
-    """Configurations with exactly the pieces of ``histogram``.
-
-    Rounding loses what configurations that are not full leave open, so several bounds
-    on their fill are tried and the fewest sequences win; with equal numbers the one
-    with more of the linear program's solution does.
-    """
-    solution = fractional(histogram)
-    whole = min((rounded(solution, histogram, fill) for fill in FILLS), key=lambda w: sum(w.values()))
+    """Configurations with exactly the pieces of ``histogram``; of several shares to undo the one with the
+    fewest sequences counts, and of those the smallest."""
+    found = solution(histogram)
+    whole = min((rounded(found, len(histogram) - 1, undone) for undone in UNDONE), key=lambda w: sum(w.values()))
     rows, used, base = [], np.zeros(len(histogram), dtype=np.int64), 0
     for group, times in sorted(whole.items()):
         offset = 0

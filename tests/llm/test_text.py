@@ -1,6 +1,7 @@
 """Encoding, licences, secrets, packing and fingerprints against plain Python."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -203,7 +204,46 @@ def test_plan_places_every_piece_once(seed):
         filled[s, o : o + n] += 1
     assert filled.max() == 1 and (np.diff(filled, axis=1) <= 0).all()
     assert own.sequences <= max(sum(packing.best_fit(histogram).values()), 1)
-    assert sum(packing.fractional(histogram).values()) > 0
+
+
+def covered(groups, capacity):
+    out = np.zeros(capacity + 1, dtype=np.int64)
+    for group, times in groups:
+        assert sum(group) <= capacity and times > 0
+        for n in group:
+            out[n] += times
+    return out
+
+
+@pytest.mark.parametrize("times, seed", [(1, 0), (1, 1), (1000, 0)])
+def test_program_is_solved(times, seed):
+    """All pieces are covered, near the bound no packing can go below, and rounding keeps nearly all of it."""
+    random_ = np.random.default_rng(seed)
+    histogram = np.bincount(np.minimum(4096, random_.lognormal(6.4, 1.0, 4000).astype(int) + 1), minlength=4097) * times
+    found = packing.solution(histogram)
+    assert (covered(found, 4096) == histogram).all()
+    n, bound = sum(k for _, k in found), -(-int((histogram * np.arange(4097)).sum()) // 4096)
+    assert n <= 1.01 * bound + 1
+    for undone in packing.UNDONE:
+        whole = packing.rounded(found, 4096, undone)
+        assert (covered(whole.items(), 4096) == histogram).all()
+        kept = whole & Counter(dict(found))
+        assert sum(kept.values()) >= 0.95 * n - packing.FEW
+    assert packing.plan(histogram).sequences <= n
+
+
+def test_knapsack_against_all_subsets():
+    random_ = np.random.default_rng(7)
+    for _ in range(30):
+        lengths = np.unique(random_.integers(1, 40, 5))
+        copies, prices = random_.integers(1, 5, len(lengths)), random_.random(len(lengths)) * lengths
+        room = int(random_.integers(1, 90))
+        best = max(
+            sum(t * p for t, p in zip(times, prices)) for times in itertools.product(*(range(min(c, 3) + 1) for c in copies)) if sum(t * n for t, n in zip(times, lengths)) <= room
+        )
+        group = packing.knapsack(prices, lengths, copies, room)
+        assert sum(group) <= room and all(group.count(n) <= min(c, 3) for n, c in zip(lengths, copies))
+        assert abs(sum(prices[list(lengths).index(n)] for n in group) - best) < 1e-9
 
 
 def plain_edit(texts):
