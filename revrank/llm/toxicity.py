@@ -25,14 +25,14 @@ from revrank.llm.words import LETTERS, Words, slices
 from revrank.session import cut_lineage
 
 #: Most labelled documents to learn from, and most terms of a category to keep.
-SAMPLE, TERMS = 6_000, 1_000
+SAMPLE, TERMS = 6_000, 1_500
 #: A term is in at least so many of these documents, and so many standard errors from chance.
 LEAST_DOCUMENTS, LEAST_Z = 4, 3.0
 BEGINNINGS = (4, 5)
 #: Categories in the order of the chain, each a rule on the label table.
 CATEGORIES = {"junk": "quality = 0", "toxic_junk": "toxic = 1 AND quality = 0", "toxic": "toxic = 1"}
 TOXIC = 0.5
-FOLDS, STEPS, RATE, DECAY = 4, 100, 0.1, 0.02
+FOLDS, STEPS, RATE, DECAY = 5, 150, 0.1, 0.02
 DENSE = 3
 
 
@@ -68,18 +68,25 @@ def terms(texts: pa.Array) -> pa.Array:
     return pa.array(out, type=pa.list_(pa.int64()))
 
 
-def telling_terms(sample: DataFrame, category: str) -> np.ndarray:
-    """Hashes of at most ``TERMS`` terms whose document frequency differs most for ``category``."""
-    total = sample.agg(F.count("*").alias("n"), F.sum(category).alias("hits")).first()
-    n, hits = total["n"], total["hits"] or 0
-    if not 0 < hits < n:
-        return np.zeros(0, dtype=np.uint64)
-    seen = sample.select(category, F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"), F.sum(category).alias("hit"))
-    rate = hits / n
-    z = (F.col("hit") - F.col("df") * rate) / F.sqrt(F.col("df") * rate * (1 - rate) * (n - F.col("df") + 1) / n)
-    best = seen.filter(F.col("df") >= LEAST_DOCUMENTS).withColumn("z", F.abs(z)).filter(F.col("z") >= LEAST_Z)
-    rows = best.orderBy(F.desc("z"), "term").limit(TERMS).select("term").collect()
-    return np.array([r["term"] for r in rows], dtype=np.int64).view(np.uint64)
+def telling_terms(sample: DataFrame) -> np.ndarray:
+    """Sorted hashes of at most ``TERMS`` terms a category whose document frequency differs most for it.
+
+    One grouped sum over the terms of all documents serves every category.
+    """
+    sums = [F.sum(c).alias(c) for c in CATEGORIES]
+    total = sample.agg(F.count("*").alias("n"), *sums).first()
+    seen = sample.select(*CATEGORIES, F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"), *sums)
+    seen = cut_lineage(seen.filter(F.col("df") >= LEAST_DOCUMENTS))
+    n, found = total["n"], [np.zeros(0, dtype=np.uint64)]
+    for category in CATEGORIES:
+        hits = total[category] or 0
+        if not 0 < hits < n:
+            continue
+        rate = hits / n
+        z = F.abs((F.col(category) - F.col("df") * rate) / F.sqrt(F.col("df") * rate * (1 - rate) * (n - F.col("df") + 1) / n))
+        rows = seen.withColumn("z", z).filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "term").limit(TERMS).select("term").collect()
+        found.append(np.array([r["term"] for r in rows], dtype=np.int64).view(np.uint64))
+    return np.unique(np.concatenate(found))
 
 
 @dataclass
@@ -176,7 +183,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     chosen = labelled_sample(docs, labels, ("quality", "toxic"), sample, id_col, text_col)
     ruled = chosen.select("id", "text", terms("text").alias("terms"), *(F.expr(rule).cast("int").alias(c) for c, rule in CATEGORIES.items()))
     ruled = cut_lineage(ruled)
-    vocabulary = np.unique(np.concatenate([telling_terms(ruled, c) for c in CATEGORIES]))
+    vocabulary = telling_terms(ruled)
     empty = Chain(vocabulary, [])
 
     @F.arrow_udf(
@@ -228,7 +235,8 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """(id_col, p_junk, p_toxic_junk, p_toxic, toxic) of each row; repeated rows each get theirs.
 
     Without labels nothing is known: every probability is then one half or that of the
-    single class seen, and an empty table gives no rows. Other columns are not read.
+    single class seen, and an empty table gives no rows. Very long texts are read whole;
+    null texts are empty. Other columns are not read.
     """
     chain = fit(docs, labels, id_col=id_col, text_col=text_col)
     found = docs.select(F.col(id_col), probabilities(F.col(text_col), chain).alias("p")).select(id_col, "p.*")
