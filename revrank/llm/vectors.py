@@ -1,16 +1,17 @@
-"""Near duplicates of vectors by buckets of random signs.
+"""Near duplicates of vectors by sorted projection passes.
 
-In every pass the vectors of a label are parted by the signs of random
-projections, and each is compared with all others of its bucket. Pairs similar
-enough are links; components join the links of all passes.
+In every pass the vectors of a label are ordered lexicographically by the signs of
+random projections, and each is compared with its neighbours: all within a window of
+``WINDOW`` places on either side. Pairs similar enough are links; components join the
+links of all passes. The first signs make a bucket, whose number follows from the label's
+size, and the number of passes follows from the signs: similar vectors have to share a
+bucket in at least one pass. A bucket within a window is compared whole by it. One
+that is longer, so that windows would be saturated, is compared by pairs of blocks, each
+a task; so nothing depends on how many vectors share a bucket.
 
 Equal vectors of a label are one class with a count, so copies of any number cost
-nothing. The number of signs follows from the label's size, the number of passes
-from the signs: similar vectors have to share a bucket in at least one pass. That
-does not depend on how many others share it. A label of one window's size is a
-single bucket, which is exact. A bucket of any size is compared whole: it is cut
-into blocks, and each pair of blocks is a task. Tasks count links and give
-spanning links of what is connected, so that links are never listed.
+nothing. Tasks count links and give spanning links of what is connected, so that links
+are never listed; a pair that an earlier pass compared is not counted again.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from revrank.operators.ranking import BROADCAST_ROWS, global_rank
 from revrank.session import cut_lineage
 
 LEAST = 0.98
-#: Classes in a bucket if signs halve evenly, and rows of a block; a task compares two.
+#: Neighbours on either side (and classes in a bucket if signs halve evenly), and rows of a block; a task compares two.
 WINDOW, BLOCK = 512, 1024
 SIGNS = 62
 #: Share of pairs at the least similarity that all passes together may miss.
@@ -113,7 +114,8 @@ def near_vectors(
     nothing. n_links counts the other rows linked directly; component_id is the
     smallest id that links reach, for the unlinked their own. A row without an id
     takes part, but has a component only through others, and is not kept. Repeated rows count as
-    rows of their own; an empty table gives none; other columns are not read.
+    rows of their own; vectors of any length are read whole; an empty table gives no rows; other
+    columns are not read.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), F.col(vector_col).alias("vector"))
     named = cut_lineage(rows.withColumn("c", F.when(F.col("label").isNotNull(), vector_class("vector"))).select("id", "label", "vector", "c.*"))
@@ -130,29 +132,37 @@ def near_vectors(
 
     signs = F.least(F.coalesce("signs", F.lit(0)), F.lit(most))
     signed = classes.join(F.broadcast(large) if told[0] <= BROADCAST_ROWS else large, ["label", "size"], "left").withColumn("signs", signs)
-    signed = signed.withColumn("keys", F.slice(pass_keys(max(by_signs), seed)("vector"), F.lit(1), F.array(*map(F.lit, by_signs))[F.col("signs")]))
-    signed = cut_lineage(signed.withColumn("keys", F.expr(f"transform(keys, k -> shiftright(k, {SIGNS} - signs))")))
-    keyed = signed.select("label", "size", "node", F.posexplode("keys").alias("pass", "key"))
-    order = global_rank(keyed, "pass", "label", "size", "key", "node").items
+    signed = signed.withColumn("full", F.slice(pass_keys(max(by_signs), seed)("vector"), F.lit(1), F.array(*map(F.lit, by_signs))[F.col("signs")]))
+    signed = cut_lineage(signed.withColumn("keys", F.expr(f"transform(full, k -> shiftright(k, {SIGNS} - signs))")))
+    keyed = signed.select("label", "size", "node", "signs", F.posexplode("full").alias("pass", "full"))
+    keyed = keyed.withColumn("key", F.expr(f"shiftright(full, {SIGNS} - signs)")).drop("signs")
+    order = global_rank(keyed, "pass", "label", "size", "full", "node").items.drop("full")
     order = cut_lineage(order.withColumn("block", F.floor(F.col("rank") / BLOCK)))
+    # A class has one place for each pass.
+    places = order.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("pass", "rank")))["rank"].alias("ranks"))
+    reach = min(window, BLOCK)
 
     # Buckets that reach over several blocks: at most one for each end of a block.
     bucket = ["pass", "label", "size", "key"]
     wide = order.groupBy(*bucket).agg(F.min("block").alias("low"), F.max("block").alias("high")).filter("low < high")
     wide = cut_lineage(wide)
     wide = F.broadcast(wide) if wide.count() <= BROADCAST_ROWS else wide
-    spread = order.join(wide, bucket, "left").join(signed.select("node", "rows", "vector", "keys"), "node")
-    spread = spread.withColumn("other", F.explode(F.sequence(F.coalesce("low", "block"), F.coalesce("high", "block"))))
+    spread = order.join(wide, bucket, "left").join(signed.select("node", "rows", "vector", "keys").join(places, "node"), "node")
+    place = F.col("rank") % BLOCK
+    around = F.array(F.col("block"), F.when(place < reach, F.col("block") - 1), F.when(place >= BLOCK - reach, F.col("block") + 1))
+    met = F.array_union(F.sequence(F.coalesce("low", "block"), F.coalesce("high", "block")), F.array_compact(around))
+    spread = spread.withColumn("other", F.explode(met))
     spread = spread.select("*", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two")).drop("low", "high", "other")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches([*batches]).sort_by("rank").combine_chunks()
         block, node, rows = (table[n].to_numpy() for n in ("block", "node", "rows"))
-        number, size, key = (table[n].to_numpy() for n in ("pass", "size", "key"))
+        number, size = (table[n].to_numpy() for n in ("pass", "size"))
         label = np.array([str(x) for x in table["label"].to_pylist()])
-        vectors, keys = table["vector"].combine_chunks(), table["keys"].combine_chunks()
+        vectors, keys, ranks = (table[n].combine_chunks() for n in ("vector", "keys", "ranks"))
+        across = table["one"][0].as_py() != table["two"][0].as_py()
         cut = np.zeros(len(node), dtype=bool)
-        for x in (number, size, key, label):
+        for x in (number, size, label):
             cut[1:] |= x[1:] != x[:-1]
         starts = [0, *np.flatnonzero(cut), len(node)]
         a_out, b_out, n_out = [], [], []
@@ -160,15 +170,21 @@ def near_vectors(
             if end - start < 2:
                 continue
             x = vectors[start:end].flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(end - start, -1)
-            k = keys[start:end].flatten().to_numpy().reshape(end - start, -1)
+            k, r = (c[start:end].flatten().to_numpy().reshape(end - start, -1) for c in (keys, ranks))
             norm = np.sqrt((x * x).sum(axis=1))
-            ok = (x @ x.T) / norm[:, None] / norm >= least
-            # A pair that shares a bucket in an earlier pass is found there.
-            for p in range(int(number[start])):
-                ok &= k[:, p][:, None] != k[:, p]
-            if block[0] != block[-1]:
+            ok = np.triu((x @ x.T) / norm[:, None] / norm >= least, 1)
+            if across:
                 ok &= block[start:end][:, None] != block[start:end]
-            ok = np.triu(ok, 1)
+            one, two = np.nonzero(ok)
+
+            def compared(p: int) -> np.ndarray:
+                return (np.abs(r[one, p] - r[two, p]) <= reach) | (k[one, p] == k[two, p])
+
+            # A pair that an earlier pass compared is found there.
+            here = compared(int(number[start]))
+            for p in range(int(number[start])):
+                here &= ~compared(p)
+            ok[one, two] = here
             ok |= ok.T
             at = np.flatnonzero(ok.any(axis=1))
             a_out.append(node[start:end][at])

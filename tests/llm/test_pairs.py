@@ -164,6 +164,20 @@ def test_dense_group_is_found_with_small_windows(spark):
     assert sum(got[i].n_links for i, _, _ in want) > 0.9 * sum(n for _, n, _ in want)
 
 
+@pytest.mark.parametrize("window", [16, 64, 512])
+def test_every_row_of_several_passes_equals_brute_force(spark, window):
+    """Pairs well above the threshold or well below it, in groups smaller and larger than the window."""
+    draw = np.random.default_rng(21)
+    rows = []
+    for size in [1] * 300 + [2] * 150 + [5] * 40 + [90, 300]:
+        center = draw.normal(size=24)
+        rows += [(center + draw.normal(size=24) * 0.04).tolist() for _ in range(size)]
+    rows = [(i, rows[j], i % 2) for i, j in enumerate(draw.permutation(len(rows)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in vectors.near_vectors(df, window=window).collect())
+    assert got == plain_vectors(rows)
+
+
 def test_links_of_groups_denser_than_any_window(spark):
     """A group of 5,000 alike, and 5,000 vectors with a common direction, some of them alike."""
     draw = np.random.default_rng(12)
