@@ -40,8 +40,8 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All turns of all conversations as linked, ordered and validated calls."""
-    calls, results = toolcalls.from_turns(table(spark, sf_dir, "conversations"))
-    return toolcalls.linked_calls(calls, results, toolcalls.REPLY)
+    calls, results, context = toolcalls.from_turns(table(spark, sf_dir, "conversations"))
+    return toolcalls.linked_calls(calls, results, toolcalls.REPLY, context)
 
 
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,33 +97,38 @@ QUERIES: dict[str, Query] = {
 
 ORACLES: dict[str, str] = {
     "op6_tool_calls": """
-WITH rows AS (SELECT * FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
-asked AS (
-  SELECT conv_id, turn, text, 'call_' || turn AS call_id, min(turn) OVER (PARTITION BY conv_id) AS first_turn
-  FROM rows WHERE role = 'user'),
-answers AS (
-  SELECT conv_id, 'call_' || (turn - 1) AS call_id, count(*) AS n, min({'turn': turn, 'text': text}) AS r
-  FROM rows WHERE role = 'assistant' GROUP BY ALL),
+WITH asked AS (
+  SELECT conv_id, turn, text, 'call_' || turn AS call_id, CASE WHEN conv_id IS NOT NULL THEN min(turn) OVER (PARTITION BY conv_id) END AS first_turn
+  FROM conversations WHERE role = 'user'),
+numbered AS (
+  SELECT conv_id, turn, text, 'call_' || (turn - 1) AS call_id, conv_id IS NOT NULL AND turn IS NOT NULL AS known,
+         row_number() OVER (PARTITION BY conv_id, turn ORDER BY text NULLS FIRST) AS nth, count(*) OVER (PARTITION BY conv_id, turn) AS n
+  FROM conversations WHERE role = 'assistant'),
+answers AS (SELECT * FROM numbered WHERE known AND nth = 1 UNION ALL SELECT * REPLACE (1 AS n) FROM numbered WHERE NOT known),
 linked AS (
   SELECT coalesce(a.conv_id, r.conv_id) AS conversation, coalesce(a.call_id, r.call_id) AS call_id, a.turn,
-         r.r.turn AS result_turn, CASE WHEN a.turn IS NOT NULL THEN 'reply' END AS name,
-         CASE WHEN a.turn IS NULL THEN 'orphan' WHEN r.n IS NULL THEN 'unanswered'
-              WHEN r.r.turn < a.turn THEN 'early' ELSE 'linked' END AS status,
+         r.turn AS result_turn, CASE WHEN a.is_call THEN 'reply' END AS name,
+         CASE WHEN a.is_call IS NULL THEN 'orphan' WHEN r.n IS NULL THEN 'unanswered'
+              WHEN r.turn < a.turn THEN 'early' ELSE 'linked' END AS status,
          coalesce(r.n, 0) AS n_results,
-         CASE WHEN a.turn IS NOT NULL THEN CAST(a.turn > first_turn AS INTEGER) END AS level,
-         CASE WHEN a.turn IS NULL THEN NULL WHEN a.text IS NULL THEN 'missing: text' ELSE '' END AS problems,
-         a.text, first_turn, r.r.text AS answer
-  FROM asked a FULL JOIN answers r ON a.conv_id = r.conv_id AND a.call_id = r.call_id),
+         CASE WHEN a.is_call AND a.conv_id IS NOT NULL AND a.call_id IS NOT NULL THEN CAST(a.turn > first_turn AS INTEGER) END AS level,
+         CASE WHEN a.is_call IS NULL THEN NULL ELSE concat_ws('; ', CASE WHEN a.text IS NULL THEN 'missing: text' END, CASE WHEN a.turn IS NULL THEN 'missing: turn' END) END AS problems,
+         a.text, first_turn, r.text AS answer
+  FROM (SELECT *, true AS is_call FROM asked) a FULL JOIN answers r ON a.conv_id = r.conv_id AND a.call_id = r.call_id
+  UNION ALL
+  SELECT conv_id, call_id, NULL, turn, NULL, 'extra', 0, NULL, NULL, NULL, NULL, text FROM numbered WHERE known AND nth > 1
+  UNION ALL
+  SELECT conv_id, NULL, turn, NULL, role, 'context', 0, NULL, NULL, NULL, NULL, text FROM conversations WHERE role IS NULL OR role NOT IN ('user', 'assistant')),
 written AS (
   SELECT *, '{' || concat_ws(',',
-      CASE WHEN turn IS NOT NULL THEN '"arguments":{' || concat_ws(',', '"text":' || CAST(to_json(text) AS VARCHAR),
+      CASE WHEN problems IS NOT NULL THEN '"arguments":{' || concat_ws(',', '"text":' || CAST(to_json(text) AS VARCHAR),
         CASE WHEN level = 1 THEN '"topic":{"$call":"call_' || first_turn || '"}' END, '"turn":' || turn) || '}' END,
       '"id":"' || call_id || '"', '"level":' || level, '"name":"' || name || '"',
       '"result":' || CAST(to_json(answer) AS VARCHAR), '"status":"' || status || '"',
       '"valid":' || (problems = '')) || '}' AS json
   FROM linked)
 SELECT conversation, call_id, turn, result_turn, name, status, n_results, level, problems, json,
-       row_number() OVER (ORDER BY conversation, coalesce(level, 2147483647), coalesce(turn, result_turn), call_id, json) AS position
+       row_number() OVER (ORDER BY conversation NULLS FIRST, coalesce(level, 2147483647), coalesce(turn, result_turn) NULLS FIRST, call_id NULLS FIRST, json NULLS FIRST) AS position
 FROM written""",
     "op11_prefix_trie": r"""
 WITH turns AS (

@@ -57,18 +57,27 @@ def problems(name: Column, arguments: Column, schemas: Schemas) -> Column:
 
 
 def link(calls: DataFrame, results: DataFrame) -> DataFrame:
-    """Calls and results joined by conversation and call id.
+    """Calls and results joined by conversation and call id; every row of both comes out.
 
     Adds content, result_turn and status: linked, unanswered (no result), early (the
-    result stands before its call) or orphan (a result without a call). Of several
-    results the first by turn counts, of several calls with one id each is linked.
-    Rows without a conversation or id are linked with nothing.
+    result stands before its call), orphan (a result without a call) or extra (a further
+    result for an id). Of several results the first by turn, then content, is linked, and
+    the others are extra, with or without a call; of several calls with one id each is linked.
+    Rows without a conversation or id are linked with nothing: unanswered or orphan. Further
+    columns are not read.
     """
     key = ["conversation", "call_id"]
+    calls = calls.select(*key, "turn", "name", "arguments")
+    results = results.select(*key, F.col("turn").alias("result_turn"), "content")
     known = F.col("conversation").isNotNull() & F.col("call_id").isNotNull()
-    first = results.filter(known).groupBy(*key).agg(F.min(F.struct("turn", "content")).alias("r"), F.count("*").alias("n_results"))
-    first = first.select(*key, F.col("r.turn").alias("result_turn"), F.col("r.content").alias("content"), "n_results")
-    loose = results.filter(~known).select(*key, F.col("turn").alias("result_turn"), "content", F.lit(1).cast("long").alias("n_results"))
+    # Equal results are one row with a count, so a key with very many of them is added up before it meets its call.
+    same = results.filter(known).groupBy(*key, "result_turn", "content").agg(F.count("*").alias("times"))
+    first = same.groupBy(*key).agg(F.min(F.struct("result_turn", "content")).alias("r"), F.sum("times").alias("n_results"))
+    further = F.col("times") - F.when(F.col("result_turn").eqNullSafe(F.col("r.result_turn")) & F.col("content").eqNullSafe(F.col("r.content")), F.lit(1)).otherwise(F.lit(0))
+    extra = same.join(first, key).withColumn("times", further).filter("times > 0")
+    extra = extra.select(*key, "result_turn", "content", F.lit("extra").alias("status"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).drop("col")
+    first = first.select(*key, "r.result_turn", "r.content", "n_results")
+    loose = results.filter(~known).withColumn("n_results", F.lit(1).cast("long"))
     joined = calls.withColumn("is_call", F.lit(True)).join(first.unionByName(loose), key, "full_outer")
     status = (
         F.when(F.col("is_call").isNull(), "orphan")
@@ -76,7 +85,8 @@ def link(calls: DataFrame, results: DataFrame) -> DataFrame:
         .when(F.col("result_turn") < F.col("turn"), "early")
         .otherwise("linked")
     )
-    return joined.withColumn("status", status).withColumn("n_results", F.coalesce("n_results", F.lit(0).cast("long"))).drop("is_call")
+    told = joined.withColumn("status", status).drop("is_call").unionByName(extra, allowMissingColumns=True)
+    return told.withColumn("n_results", F.coalesce("n_results", F.lit(0).cast("long")))
 
 
 def levels(calls: DataFrame) -> DataFrame:
@@ -108,16 +118,23 @@ def canonical(arguments: Column) -> Column:
     return F.to_json(F.try_parse_json(arguments))
 
 
-def linked_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
-    """One row per call and per orphan result: position, status, problems and canonical JSON.
+def linked_calls(calls: DataFrame, results: DataFrame, schemas: Schemas, context: DataFrame | None = None) -> DataFrame:
+    """One row per call and per result that isn't some call's: position, status, problems and canonical JSON.
 
     ``position`` counts from 1 over the table, conversation by conversation and there
-    by level, then turn: every call comes after those it depends on. Calls
-    without a level come last in their conversation.
+    by level, then turn: every call comes after those it depends on. Rows without a level
+    come last in their conversation. ``context``, if given, has turns that are neither
+    (conversation, turn, name, content); each comes out with status context. Very long
+    texts are handled as any other; empty tables give no rows; further columns are not read.
     """
     key = ["conversation", "call_id"]
     told = link(calls, results).join(levels(calls), key, "left")
-    told = told.withColumn("problems", F.when(F.col("status") != "orphan", problems(F.col("name"), F.col("arguments"), schemas)))
+    told = told.withColumn("level", F.when(F.col("status") != "extra", F.col("level")))
+    if context is not None:
+        beside = context.select("conversation", "turn", "name", "content", F.lit("context").alias("status"), F.lit(0).cast("long").alias("n_results"))
+        told = told.unionByName(beside, allowMissingColumns=True)
+    is_call = ~F.col("status").isin("orphan", "extra", "context")
+    told = told.withColumn("problems", F.when(is_call, problems(F.col("name"), F.col("arguments"), schemas)))
     document = F.struct(
         F.try_parse_json("arguments").alias("arguments"),
         F.col("call_id").alias("id"),
@@ -134,25 +151,27 @@ def linked_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> Data
     return ranked.select("conversation", "call_id", "turn", "result_turn", "name", "status", "n_results", "level", "position", F.array_join("problems", "; ").alias("problems"), "json")
 
 
-def from_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Calls and results from plain conversations (conv_id, turn, role, text).
+def from_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Calls, results and context from plain conversations (conv_id, turn, role, text); each turn is in one of them.
 
     A user's turn is a call of the tool ``reply`` that refers to the first user turn of
     its conversation as its topic; an assistant's turn is the result of the call in
-    the turn before. Rows without a conversation or turn are neither.
+    the turn before. Turns of any other role, or of none, are context, named by the role.
+    Turns without a number have no call id, so nothing is linked to them.
     """
-    rows = turns.filter("conv_id IS NOT NULL AND turn IS NOT NULL").select(F.col("conv_id").alias("conversation"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    rows = turns.select(F.col("conv_id").alias("conversation"), F.col("turn").cast("long").alias("turn"), "role", "text")
     asked = rows.filter("role = 'user'")
     first = asked.groupBy("conversation").agg(F.min("turn").alias("first"))
     topic = F.when(F.col("turn") > F.col("first"), F.struct(F.concat(F.lit("call_"), F.col("first").cast("string")).alias("$call")))
     named = F.concat(F.lit("call_"), F.col("turn").cast("string"))
-    calls = asked.join(first, "conversation").select(
+    calls = asked.join(first, "conversation", "left").select(
         "conversation", "turn", named.alias("call_id"), F.lit("reply").alias("name"), F.to_json(F.struct("turn", "text", topic.alias("topic"))).alias("arguments")
     )
     results = rows.filter("role = 'assistant'").select(
         "conversation", "turn", F.concat(F.lit("call_"), (F.col("turn") - 1).cast("string")).alias("call_id"), F.col("text").alias("content")
     )
-    return calls, results
+    others = rows.filter("role IS NULL OR role NOT IN ('user', 'assistant')")
+    return calls, results, others.select("conversation", "turn", F.col("role").alias("name"), F.col("text").alias("content"))
 
 
 REPLY: Schemas = {"reply": (Parameter("text", "string"), Parameter("turn", "integer"), Parameter("topic", "object", required=False))}

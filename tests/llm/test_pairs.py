@@ -2,6 +2,7 @@
 
 import json
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -217,7 +218,9 @@ def test_tool_calls(spark):
         "conversation string, turn long, call_id string, content string",
     )
     schemas = {"add": (toolcalls.Parameter("x", "number"), toolcalls.Parameter("y", "integer"))}
-    rows = {(r.conversation, r.call_id, r.turn): r for r in toolcalls.linked_calls(calls, results, schemas).collect()}
+    found = toolcalls.linked_calls(calls, results, schemas).collect()
+    rows = {(r.conversation, r.call_id, r.turn): r for r in found if r.status != "extra"}
+    assert [(r.conversation, r.call_id, r.result_turn, json.loads(r.json)["result"]) for r in found if r.status == "extra"] == [("c", "a", 9, "3")]
     c = {k[1]: r for k, r in rows.items() if k[0] == "c"}
     assert (c["a"].status, c["a"].result_turn, c["a"].n_results, c["a"].level, c["a"].problems) == ("linked", 8, 2, 0, "")
     assert json.loads(c["a"].json)["arguments"] == {"x": 1, "y": 2} and c["a"].json.startswith('{"arguments":{"x":1,"y":2},"id":"a"')
@@ -232,20 +235,44 @@ def test_tool_calls(spark):
 
 
 def test_turns_as_calls(spark):
+    """Every turn comes out: as a call, as the result of one, or as a row of its own."""
     turns = spark.createDataFrame(
-        [(1, 0, "system", "s"), (1, 1, "user", "q"), (1, 2, "assistant", "a"), (1, 3, "user", None), (2, 0, "assistant", "x"), (None, 0, "user", "u"), (1, 1, "user", "q")],
+        [
+            (1, 0, "system", "s"), (1, 1, "user", "q"), (1, 2, "assistant", "a"), (1, 2, "assistant", "a2"), (1, 2, "assistant", "a"), (1, 3, "user", None),
+            (2, 0, "assistant", "x"), (None, 0, "user", "u"), (1, 1, "user", "q"), (1, None, "user", "w"), (None, None, "assistant", "n"), (3, 0, None, "r"), (3, 1, "tool", None),
+        ],
         "conv_id long, turn long, role string, text string",
     )
-    calls, results = toolcalls.from_turns(turns)
-    rows = toolcalls.linked_calls(calls, results, toolcalls.REPLY).collect()
-    assert sorted((r.conversation, r.call_id, r.status, r.problems, r.level) for r in rows if r.status != "orphan") == [
-        (1, "call_1", "linked", "", 0),
-        (1, "call_1", "linked", "", 0),
-        (1, "call_3", "unanswered", "missing: text", 1),
-    ]
-    assert [(r.conversation, r.call_id, r.level) for r in rows if r.status == "orphan"] == [(2, "call_-1", None)]
-    n = spark.read.parquet(f"{SMALL}/conversations.parquet").filter("role = 'user'").count()
-    assert sum(r.status != "orphan" for r in queries.op6_tool_calls(spark, SMALL).collect()) == n
+    extra_columns = turns.selectExpr("*", "1 AS content", "2 AS level", "3 AS n_results", "4 AS result_turn", "5 AS status", "6 AS name")
+    for table in (turns, extra_columns):
+        calls, results, context = toolcalls.from_turns(table)
+        rows = toolcalls.linked_calls(calls, results, toolcalls.REPLY, context).collect()
+        told = sorted(((r.conversation, r.call_id, r.turn, r.result_turn, r.status, r.problems, r.level) for r in rows), key=str)
+        assert told == sorted([
+            (1, "call_1", 1, 2, "linked", "", 0), (1, "call_1", 1, 2, "linked", "", 0), (1, "call_1", None, 2, "extra", None, None), (1, "call_1", None, 2, "extra", None, None),
+            (1, "call_3", 3, None, "unanswered", "missing: text", 1), (1, None, None, None, "unanswered", "missing: turn", None), (None, "call_0", 0, None, "unanswered", "", None),
+            (2, "call_-1", None, 0, "orphan", None, None), (None, None, None, None, "orphan", None, None),
+            (1, None, 0, None, "context", None, None), (3, None, 0, None, "context", None, None), (3, None, 1, None, "context", None, None),
+        ], key=str)
+        texts = sorted(json.loads(r.json).get("result") or "" for r in rows if r.status in ("extra", "context", "orphan"))
+        assert texts == ["", "a", "a2", "n", "r", "s", "x"]
+
+
+def test_turns_reconcile_with_the_table(spark):
+    turns = spark.read.parquet(f"{SMALL}/conversations.parquet")
+    rows = queries.op6_tool_calls(spark, SMALL).collect()
+    n = {r.role: r["count"] for r in turns.groupBy("role").count().collect()}
+    by = Counter(r.status for r in rows)
+    assert by["linked"] + by["early"] + by["unanswered"] == n["user"] and by["context"] == n.get("system", 0)
+    answered = {(r.conversation, r.call_id) for r in rows if r.status in ("linked", "early")}
+    assert len(answered) + by["orphan"] + by["extra"] == n["assistant"]
+
+
+def test_calls_with_columns_of_the_results_own_names(spark):
+    calls = spark.createDataFrame([("c", 1, "a", "add", "{}", 7, 8, 9, 10)], "conversation string, turn long, call_id string, name string, arguments string, content long, level long, n_results long, result_turn long")
+    results = spark.createDataFrame([("c", 2, "a", "3", 5, "x")], "conversation string, turn long, call_id string, content string, level long, name string")
+    row = toolcalls.linked_calls(calls, results, {"add": ()}).collect()[0]
+    assert (row.status, row.result_turn, row.level, row.n_results) == ("linked", 2, 0, 1)
 
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
