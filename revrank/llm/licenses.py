@@ -1,12 +1,16 @@
 """Licence notices by a positional index of their rare words.
 
-Every notice (template) is a run of words with mandatory key phrases. The index
-holds where each licence word stands in each template. Document frequencies over
-the corpus say which of a template's words are rare; a text is looked up by
-those. A look-up votes for the place where the template would begin; a place
-with enough of the template's words in position, and with every key phrase word
-for word, is a find. Rare words are chosen per template from its first key
-phrase, so each exact occurrence of a phrase is looked up.
+Every notice (template) is a run of words with mandatory key phrases. Document frequencies
+over the corpus weigh the words. The index holds postings: for each word the notices, and the
+places in them, of whose mandatory words it is the rarest. The licence words of a text that have
+postings are looked up, whatever the number of notices; each posting votes for the place where
+its notice would begin. There the mandatory words are intersected by their relative positions,
+and where all are in place, the other words: with enough of their weight it is a find. As a
+mandatory word is always looked up, no exact occurrence of the phrases is missed.
+
+Defined results: words are runs of ASCII letters and digits and of all signs beyond ASCII,
+lower-cased in A-Z. A null or empty text has no words and no finds; repeated rows are scanned
+each; very long texts are scanned whole; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -41,71 +45,140 @@ BASE = (
     Template.phrase("gpl", "general public license"),
     Template.phrase("reserved", "all rights reserved"),
 )
-#: Further notices, as public licences word them.
+#: Further notices, as public licences word them, with their key phrases.
 NOTICES = (
     Template.phrase("mit", "released under the mit license"),
+    Template(
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction",
+        ("permission is hereby granted free of charge", "to deal in the software without restriction"),
+    ),
     Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", ("permission is hereby granted free of charge",)),
     Template("apache", "licensed under the apache license version 2 0", ("apache license",)),
+    Template(
+        "apache",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license",
+        ("apache license", "you may not use this file except in compliance with the license"),
+    ),
+    Template(
+        "bsd",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
+        ("redistribution and use in source and binary forms", "the following conditions are met"),
+    ),
     Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted", ("redistribution and use in source and binary forms",)),
+    Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ("permission to use copy modify", "with or without fee is hereby granted")),
+    Template("unlicense", "this is free and unencumbered software released into the public domain", ("free and unencumbered software", "released into the public domain")),
     Template("cc-by-nc", "licensed under cc by nc 4 0", ("cc by nc",)),
     Template("cc-by-sa", "licensed under cc by sa 4 0", ("cc by sa",)),
+    Template("cc-by-nd", "licensed under cc by nd 4 0", ("cc by nd",)),
     Template("gpl-3", "this work is licensed under the gnu general public license version 3", ("gnu general public license version 3",)),
+    Template(
+        "gpl-or-later",
+        "under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+        ("gnu general public license as published by the free software foundation", "or at your option any later version"),
+    ),
+    Template("lgpl", "under the terms of the gnu lesser general public license", ("gnu lesser general public license",)),
+    Template("agpl", "under the terms of the gnu affero general public license", ("gnu affero general public license",)),
     Template("mpl", "subject to the terms of the mozilla public license v 2 0", ("mozilla public license",)),
+    Template("epl", "made available under the terms of the eclipse public license 2 0", ("eclipse public license",)),
     Template("cc0", "dedicated to the public domain under cc0", ("cc0",)),
 )
 #: Share of a template's words that must stand in position.
 SUPPORT = 0.6
 
 
+#: Places of notices compared with texts at once.
+CHUNK = 1 << 19
+
+
+def spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For runs of these lengths, one after another: each row's run, and its place in it."""
+    run = np.repeat(np.arange(len(counts)), counts)
+    return run, np.arange(len(run)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
 class Index:
     """Postings of the templates' words; ``rarity`` maps a word to its weight (default 1)."""
 
     def __init__(self, templates: tuple[Template, ...], rarity: dict[str, float] | None = None):
-        self.templates = templates
         self.words = sorted({w for t in templates for w in t.text.split()})
         hashes = Words([w.encode() for w in self.words], LETTERS).hashes()
         order = np.argsort(hashes)
         self.known, self.number = hashes[order], order
         at = {w: i for i, w in enumerate(self.words)}
         weight = rarity or {}
-        self.rows = [np.array([at[w] for w in t.text.split()]) for t in templates]
-        self.weights = [np.array([weight.get(w, 1.0) for w in t.text.split()]) for t in templates]
-        self.phrases, self.anchors = [], []
-        for t, row, weights in zip(templates, self.rows, self.weights, strict=True):
-            spots = []
-            for phrase in t.phrases:
+        row, weights, mandatory, lead, lookups = [], [], [], [], []
+        for k, t in enumerate(templates):
+            own = [at[w] for w in t.text.split()]
+            needed = np.zeros(len(own), dtype=bool)
+            for i, phrase in enumerate(t.phrases):
                 words = [at[w] for w in phrase.split()]
-                start = next(i for i in range(len(row)) if row[i : i + len(words)].tolist() == words)
-                spots.append((start, len(words)))
-            self.phrases.append(spots)
-            start, size = spots[0]
-            self.anchors.append(start + int(weights[start : start + size].argmax()))
+                start = next(j for j in range(len(own)) if own[j : j + len(words)] == words)
+                needed[start : start + len(words)] = True
+                if not i:
+                    lead.append(start)
+            heavy = np.array([weight.get(w, 1.0) for w in t.text.split()])
+            rarest = int(np.where(needed, heavy, -1.0).argmax())
+            lookups.append((own[rarest], k, rarest))
+            row, weights, mandatory = row + own, [*weights, heavy], [*mandatory, needed]
+        #: Of all templates, one after another: word numbers, weights, mandatory places; where each begins.
+        self.row, self.weight, self.needed = np.array(row), np.concatenate(weights), np.concatenate(mandatory)
+        self.size = np.array([len(w) for w in weights])
+        self.begin = np.cumsum(self.size) - self.size
+        self.total = np.add.reduceat(self.weight, self.begin)
+        self.lead = np.array(lead)
+        # Postings: of each word a run of (template, place).
+        lookups.sort()
+        self.posted = np.array([(k, place) for _, k, place in lookups])
+        self.runs = np.bincount([w for w, _, _ in lookups], minlength=len(self.words))
+        self.starts = np.cumsum(self.runs) - self.runs
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """Each word's number in the vocabulary of the templates, or -1."""
         at = np.searchsorted(self.known, hashes).clip(max=len(self.known) - 1)
         return np.where(self.known[at] == hashes, self.number[at], -1)
 
-    def find(self, numbers: np.ndarray) -> list[tuple[int, int, float]]:
-        """(template, first word of its first phrase, support) for each place, of one text's word numbers."""
-        found = []
+    def _match(self, numbers: np.ndarray, doc: np.ndarray, template: np.ndarray, start: np.ndarray, here: np.ndarray, needed: bool) -> np.ndarray:
+        """Weight of a template's words that stand in position, or, of ``needed`` ones, whether all do."""
+        run, place = spread(self.size[template])
+        if needed:
+            keep = self.needed[self.begin[template[run]] + place]
+            run, place = run[keep], place[keep]
+        own = self.begin[template[run]] + place
+        spot = start[run] + place
+        # Words of other texts and beyond the ends count as others.
+        inside = (spot >= 0) & (spot < len(numbers))
+        spot = np.where(inside, spot, 0)
+        same = inside & (numbers[spot] == self.row[own]) & (doc[spot] == here[run])
+        heads = np.flatnonzero(np.diff(run, prepend=-1))
+        if needed:
+            return np.logical_and.reduceat(same, heads)
+        return np.add.reduceat(same * self.weight[own], heads)
+
+    def find(self, numbers: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Finds of several texts (``doc`` is each word's text) in order of place: text, template, first word
+        of its first phrase (a place in ``numbers``), and support."""
         spots = np.flatnonzero(numbers >= 0)
-        if not len(spots):
-            return found
-        own = numbers[spots]
-        for k, (row, weights, phrases, anchor) in enumerate(zip(self.rows, self.weights, self.phrases, self.anchors, strict=True)):
-            begins = spots[own == row[anchor]] - anchor
-            if not len(begins):
+        spots = spots[self.runs[numbers[spots]] > 0]
+        out = []
+        step = max(1, CHUNK // max(1, int(self.runs.max()) * int(self.size.max())))
+        for first in range(0, len(spots), step):
+            some = spots[first : first + step]
+            run, place = spread(self.runs[numbers[some]])
+            template, offset = self.posted[self.starts[numbers[some[run]]] + place].T
+            start, here = some[run] - offset, doc[some[run]]
+            if not len(start):
+                continue
+            whole = self._match(numbers, doc, template, start, here, needed=True)
+            template, start, here = template[whole], start[whole], here[whole]
+            if not len(start):
                 continue
-            # Postings at these relative positions; words beyond the text's ends count as others.
-            places = begins[:, None] + np.arange(len(row))
-            inside = (places >= 0) & (places < len(numbers))
-            same = inside & (numbers[np.where(inside, places, 0)] == row)
-            support = same @ weights / weights.sum()
-            whole = np.logical_and.reduce([same[:, a : a + n].all(axis=1) for a, n in phrases])
-            for i in np.flatnonzero(whole & (support >= SUPPORT)):
-                found.append((k, int(begins[i]) + phrases[0][0], float(support[i])))
-        return found
+            support = self._match(numbers, doc, template, start, here, needed=False) / self.total[template]
+            enough = support >= SUPPORT
+            out.append(np.array([here[enough], template[enough], (start + self.lead[template])[enough], support[enough]]))
+        here, template, word, support = np.concatenate(out, axis=1) if out else np.zeros((4, 0))
+        order = np.lexsort((template, word, here))
+        return here[order].astype(np.int64), template[order].astype(np.int64), word[order].astype(np.int64), support[order]
 
 
 def document_frequencies(docs: DataFrame, text_col: str = "text", templates: tuple[Template, ...] = BASE + NOTICES) -> tuple[dict[str, int], int]:
@@ -142,9 +215,7 @@ _SCAN_TYPE = pa.struct(
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base: tuple[Template, ...] = BASE, notices: tuple[Template, ...] = NOTICES) -> DataFrame:
     """(id_col, n_words, finds) of each row; ``finds`` holds label, word, base, support by place.
 
-    Words are runs of ASCII letters and digits and of all signs beyond ASCII, lower-cased
-    in A-Z. A null or empty text has no words and no finds; repeated rows are scanned each;
-    other columns are not read. Word weights are inverse document frequencies of the whole table.
+    Word weights are inverse document frequencies of the whole table.
     """
     templates = base + notices
     frequency, rows = document_frequencies(docs, text_col, templates)
@@ -157,11 +228,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base:
         for part in slices(texts.to_pylist()):
             words = Words(part, LETTERS)
             numbers = index.numbers(words.hashes())
-            some = np.diff(np.concatenate([[0], np.cumsum(numbers >= 0)])[words.first]) > 0
-            for i in range(len(part)):
-                own = numbers[words.first[i] : words.first[i + 1]]
-                finds = sorted(index.find(own), key=lambda f: (f[1], f[0])) if some[i] else []
-                out.append({"n_words": len(own), "finds": [{"label": templates[k].label, "word": w, "base": k < len(base), "support": s} for k, w, s in finds]})
+            doc, template, word, support = index.find(numbers, words.doc)
+            first = np.searchsorted(doc, np.arange(len(part) + 1))
+            for i, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True)):
+                rows = zip(template[a:b].tolist(), (word[a:b] - words.first[i]).tolist(), support[a:b].tolist())
+                finds = [{"label": templates[k].label, "word": w, "base": k < len(base), "support": s} for k, w, s in rows]
+                out.append({"n_words": int(words.first[i + 1] - words.first[i]), "finds": finds})
         return pa.array(out, type=_SCAN_TYPE)
 
     return docs.select(F.col(id_col), scanned(F.col(text_col)).alias("s")).select(id_col, "s.*")

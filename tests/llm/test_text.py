@@ -116,6 +116,48 @@ def test_a_notice_is_found_with_some_words_changed_but_not_without_its_phrase():
     assert labels("apache license") == set()
 
 
+def notices_by_hand(text, templates, rarity):
+    """Every template laid at every word of a text."""
+    words = re.findall("[0-9a-z\u0080-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    out = []
+    for k, t in enumerate(templates):
+        row = t.text.split()
+        weight = [rarity.get(w, 1.0) for w in row]
+        needed, lead = set(), None
+        for phrase in t.phrases:
+            size = len(phrase.split())
+            at = next(j for j in range(len(row)) if row[j : j + size] == phrase.split())
+            needed |= set(range(at, at + size))
+            lead = at if lead is None else lead
+        for start in range(-len(row), len(words) + 1):
+            same = [0 <= start + j < len(words) and words[start + j] == w for j, w in enumerate(row)]
+            support = sum(w for s, w in zip(same, weight) if s) / sum(weight)
+            if all(same[j] for j in needed) and support >= licenses.SUPPORT:
+                out.append((start + lead, k, round(support, 9)))
+    return sorted(out)
+
+
+def test_notices_against_every_place():
+    """Finds of the index equal laying every notice everywhere, with 22 notices and with 300."""
+    draw = random.Random(5)
+    templates = licenses.BASE + licenses.NOTICES
+    texts = [t.text for t in templates]
+    for t in templates:  # cut, changed and joined notices
+        words = t.text.split()
+        texts += [" ".join(words[1:]), " ".join(words[:-1]), " ".join(w if draw.random() < 0.8 else "other" for w in words), "x " + t.text.upper() + " " + " ".join(words[: len(words) // 2])]
+    texts += ["", "cc by", "all rights reserved all rights reserved", "license " * 50]
+    many = tuple(licenses.Template(f"l{i}", text, (" ".join(text.split()[j : j + 2]),)) for i in range(277) for text in [draw.choice(texts[3:22])] for j in [draw.randrange(max(1, len(text.split()) - 2))])
+    for own in (templates, templates + many):
+        rarity = {w: 1 + draw.random() * 5 for t in own for w in t.text.split()}
+        index = licenses.Index(own, rarity)
+        words = Words([t.encode() for t in texts], LETTERS)
+        doc, template, word, support = index.find(index.numbers(words.hashes()), words.doc)
+        got = [[] for _ in texts]
+        for d, k, w, s in zip(doc.tolist(), template.tolist(), word.tolist(), support.tolist()):
+            got[d].append((w - int(words.first[d]), k, round(s, 9)))
+        assert [sorted(g) for g in got] == [notices_by_hand(t, own, rarity) for t in texts]
+
+
 def plain_secrets(text):
     assign = r"""((?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
     found = [(m.start(), 0, m.end(), "assign") for m in re.finditer(assign, text, re.I | re.A) if len(m[2]) >= 6]
