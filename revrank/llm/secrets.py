@@ -131,12 +131,14 @@ HIDDEN = "[SECRET]"
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repository_col: str = "source", owner_col: str = "source") -> DataFrame:
     """``docs`` with every live-looking secret in ``text_col`` replaced by ``HIDDEN``; copied examples stay.
 
-    Spans that touch become one. All other columns and all rows are as before.
+    Spans that touch become one. All other columns, whatever their names, and all rows are as
+    before; a null or empty text stays, very long texts are read whole.
     """
     key = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.xxhash64(text_col).cast("string"))
-    found = scan(docs.withColumn("_secret_key", key), "_secret_key", text_col, repository_col, owner_col)
+    read = docs.select(key.alias("key"), F.col(text_col).alias("text"), F.col(repository_col).alias("repository"), F.col(owner_col).alias("owner"))
+    found = scan(read, "key", "text", "repository", "owner")
     live = F.transform(F.filter("spans", lambda s: s["live"]), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
-    hidden = cut_lineage(found.select("_secret_key", live.alias("_live")).filter(F.size("_live") > 0).dropDuplicates(["_secret_key"]))
+    hidden = cut_lineage(found.select("key", live.alias("live")).filter(F.size("live") > 0).dropDuplicates(["key"]))
     if hidden.count() <= BROADCAST_ROWS:
         hidden = F.broadcast(hidden)
 
@@ -152,8 +154,11 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo
             out.append("".join([*parts, text[at:]]) if parts else text)
         return pa.array(out, type=pa.string())
 
-    joined = docs.withColumn("_secret_key", key).join(hidden, "_secret_key", "left")
-    return joined.withColumn(text_col, without(F.col(text_col), F.col("_live"))).select(*docs.columns)
+    # The columns of docs travel as one, so that none can have the name of another.
+    joined = docs.select(key.alias("key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")).join(hidden, "key", "left")
+    own = {c: F.col("doc").getField(c) for c in docs.columns}
+    own[text_col] = without(own[text_col], F.col("live"))
+    return joined.select(*(value.alias(c) for c, value in own.items()))
 
 
 def report(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -195,6 +195,13 @@ def test_redaction_hides_live_values_only(odd, none):
     assert out[3] is None and secrets.redact(none).count() == 0
 
 
+def test_redaction_keeps_columns_of_any_name(odd):
+    named = odd.selectExpr("*", "1 AS _live", "2 AS _secret_key", "3 AS key", "4 AS live", "5 AS doc", "6 AS row", "7 AS repository", "8 AS owner")
+    for r in secrets.redact(named).collect():
+        assert tuple(r)[-8:] == (1, 2, 3, 4, 5, 6, 7, 8)
+    assert Counter(r.text for r in secrets.redact(named).collect()) == Counter(r.text for r in secrets.redact(odd).collect())
+
+
 def check_packing(rows, texts, capacity=4096):
     library = tokenizers.Tokenizer.from_file(WORDS)
     sequences = defaultdict(list)
