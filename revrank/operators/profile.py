@@ -270,6 +270,7 @@ def user_price_profile(log: DataFrame, items: DataFrame) -> DataFrame:
 def user_price_profile_simple(log: DataFrame, items: DataFrame) -> DataFrame:
     """Mean price of the positive rows, tiers cut at 75 and 40."""
     profile = _positive_prices(log, items).groupBy("user_idx").agg(F.avg("price").alias("mean_price"))
+    # The cuts of the tiers.
     tier = F.when(F.col("mean_price") > 75, "high").when(F.col("mean_price") > 40, "medium").otherwise("low")
     return profile.withColumn("tier", tier)
 
@@ -288,6 +289,7 @@ def user_activity_profile(log: DataFrame, items: DataFrame) -> DataFrame:
     ).unionByName(means.select("user_idx", F.round("avg_price", 9).alias("avg_price"), F.lit(0).alias("is_price")))
     placed = global_running_sum(points, "is_price", "avg_price", F.col("is_price").desc(), "user_idx", name="n_upto")
     share = F.col("n_upto").cast("double") / scalar(items, F.count("*")) * 100
+    # The cuts of the tiers, the rows of full activity.
     tier = F.when(F.col("percentile") > 75, "premium").when(F.col("percentile") > 50, "regular").otherwise("budget")
     return (
         placed.filter(F.col("is_price") == 0)

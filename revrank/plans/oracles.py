@@ -756,10 +756,9 @@ def build() -> dict[str, str]:
         SELECT vec_id, label, {r6('sum(e.embedding[j]::DOUBLE * c)')} AS dot
         FROM embeddings e JOIN (SELECT label, j, avg(embedding[j]::DOUBLE) AS c FROM embeddings, (SELECT unnest(range(1, 17)) AS j)
                                 GROUP BY label, j) USING (label) GROUP BY vec_id, label"""
-    users2 = [factor("user_idx", j) for j in range(4)]
-    items2 = [factor("item_idx", j) for j in range(4)]
-    features = [*users2[:2], *items2[:2], "coalesce(avg_price, 50.0)", "coalesce(activity, 1.0)", "price", "popularity", "value_score"]
-    features.append(" + ".join(f"{users2[j]} * {items2[j]}" for j in range(3)))
+    users32, items32 = ([factor(key, j) for j in range(32)] for key in ("user_idx", "item_idx"))
+    features = [*users32, *items32, "coalesce(avg_price, 50.0)", "coalesce(activity, 1.0)", "price", "popularity", "value_score"]
+    features.append(" + ".join(f"{users32[j]} * {items32[j]}" for j in range(16)))
     S["pair_features"] = sql(
         BASE + " full_profiles",
         "SELECT user_idx, item_idx, " + ", ".join(f"{r6(f)} AS f{j}" for j, f in enumerate(features))

@@ -69,6 +69,7 @@ def graph_cold_start(items: DataFrame, catalogue: DataFrame, popularity: DataFra
     mean, std = price_moments(catalogue)
     rows = with_popularity(items.select("item_idx", "price"), popularity)
     price = F.col("price")
+    # Weights, price bands and limits of a cold item's chance.
     appeal = F.greatest(F.lit(0.3), F.lit(1.0) - F.abs((price - mean) / F.greatest(std, F.lit(1.0))) * 0.2)
     base = E.clamp(_range_scaled(F.col("popularity"), popularity, "popularity") * 0.8 + appeal * 0.4, 0.15, 0.6)
     lift = F.when(price.between(30, 80), F.lit(1.4)).when(price > 80, F.lit(1.2)).otherwise(F.lit(1.3))
@@ -81,6 +82,7 @@ def graph_fallback(items: DataFrame, popularity: DataFrame, boost: float = 4.0)
     mean, std = price_moments(items)
     rows = with_popularity(items.select("item_idx", "price"), popularity)
     price = F.col("price")
+    # Weights, price bands and limits of the fallback's chance.
     appeal = F.greatest(F.lit(0.4), F.lit(1.0) - F.abs((price - mean) / F.greatest(std, F.lit(1.0))) * 0.15)
     base = E.clamp(_range_scaled(F.col("popularity"), popularity, "popularity") * 0.7 + appeal * 0.5, 0.2, 0.65)
     lift = F.when(price.between(35, 85), F.lit(1.5)).when(price > 85, F.lit(1.3)).otherwise(F.lit(1.4))
@@ -257,6 +259,7 @@ def embedding_cold_start(items: DataFrame, scores: DataFrame, boost: float = 4.5
         {"popularity": 0.0, "value_score": 0.0},
     )
     price = F.col("price")
+    # Weights and price bands of a cold item's score.
     base = F.col("popularity") * 0.4 + F.least(F.lit(1.0), F.col("value_score")) * 0.1
     lift = F.when(price.between(35, 75), F.lit(1.3)).when(price > 75, F.lit(1.1)).otherwise(F.lit(1.2))
     return rows.select("item_idx", "price", E.shown(base * lift * min(1.5, boost) * price).alias("score"))

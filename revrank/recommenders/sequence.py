@@ -197,6 +197,7 @@ class BigramRecommender(Recommender):
             parts.append(items_at_rank(ranks, order, ["item_idx", "price", "is_high_value"]))
         pairs = parts[0].unionByName(parts[1]).join(blocked, ["user_idx", "item_idx"], "left_anti")
 
+        # Floor and slack of closeness, the lifts and the cap of the chance.
         closeness = E.price_match(F.col("price"), F.col("avg_price"), 0.3, 5.0)
         lift = F.when(F.col("is_high_value"), F.lit(1.8)).otherwise(F.lit(1.4))
         chance = F.least(F.lit(0.75), (F.lit(0.15) + closeness * 0.25) * lift)
@@ -211,6 +212,7 @@ class BigramRecommender(Recommender):
         if seen_pairs is not None:
             blocked = blocked.unionByName(seen_pairs)
         found = first_unseen(open_users, catalogue, blocked, "need", ["item_idx", "price", "is_high_value"])
+        # Fixed values come with the call: lift of high-value items, and the share of the price.
         boost = F.when(F.col("is_high_value"), F.lit(lift)).otherwise(F.lit(1.0))
         added = found.select("user_idx", "item_idx", E.shown(F.col("price") * boost * share).alias("score"))
         return taken.unionByName(added)
