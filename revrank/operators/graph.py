@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from revrank.functions import expressions as E
 from revrank.operators.profile import item_value_score, lookup_default
+from revrank.session import cut_lineage
 
 # Groups up to this size are joined with themselves; larger ones are multiplied
 # as matrix blocks. Bounds the pairs made per input row.
@@ -134,6 +135,36 @@ def user_cosine(cells: DataFrame, **options) -> DataFrame:
     return cosine(cells, "user_idx", "item_idx", **options)
 
 
+def cosine_join(cells: DataFrame, of: str, via: str, least: float) -> DataFrame:
+    """Pairs ``a < b`` of ``of`` ids with a cosine (six digits) of ``least`` or more: a, b, sim.
+
+    A prefix-filtered inverted index in the way of Bayardo et al. (2007). All vectors have
+    their entries in one order, the ``via`` ids in most vectors first. The entries at the
+    front whose length together is below ``least`` are not indexed: if two vectors
+    shared none beyond the later of their fronts, that front alone would have to give the
+    whole cosine, which it cannot. So similar vectors meet at an indexed entry of both;
+    there, what both indexed parts share and the longer front have to reach ``least``, and
+    the pairs left are computed from all entries. Weights are not negative.
+    """
+    unit = unit_cells(cells.filter("weight > 0"), of)
+    unit = cut_lineage(unit.select(F.col(of).alias("o"), F.col(via).alias("g"), F.col("weight").alias("w")))
+    held = unit.groupBy("g").agg(F.count("*").alias("n"))
+    front = Window.partitionBy("o").orderBy(F.col("n").desc(), "g").rowsBetween(Window.unboundedPreceding, 0)
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(front))
+    placed = unit.join(held, "g").withColumn("length", length)
+    reached = F.col("length") >= F.lit(least - 1e-6)
+    fronts = placed.groupBy("o").agg(F.coalesce(F.max(F.when(~reached, F.col("length"))), F.lit(0.0)).alias("front"))
+    index = cut_lineage(placed.filter(reached).select("g", "o", "w"))
+    fronts = cut_lineage(fronts)
+    a, b = (index.select("g", F.col("o").alias(side), F.col("w").alias(f"w{side}")) for side in "ab")
+    met = a.join(b, "g").filter(F.col("a") < F.col("b")).groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("shared"))
+    met = met.join(fronts.toDF("a", "front_a"), "a").join(fronts.toDF("b", "front_b"), "b")
+    pairs = cut_lineage(met.filter(F.col("shared") + F.greatest("front_a", "front_b") >= least - 1e-6).select("a", "b"))
+    ahead = pairs.join(unit.toDF("a", "g", "wa"), "a").join(unit.toDF("b", "g", "wb"), ["b", "g"])
+    sims = ahead.groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("sim"))
+    return sims.filter(E.shown("sim") >= least)
+
+
 # ---------------------------------------------------------------- vectors
 
 

@@ -733,6 +733,10 @@ def build() -> dict[str, str]:
     )
     S["item_cosine"] = sql(BASE + " cells item_norms item_sims", f"SELECT a, b, {r6('sim')} AS sim FROM item_sims WHERE a <= b")
     S["user_cosine"] = sql(BASE + " cells user_norms user_sims", f"SELECT a, b, {r6('sim')} AS sim FROM user_sims WHERE a <= b")
+    for side in ("item", "user"):
+        S[f"{side}_cosine_join"] = sql(
+            BASE + f" cells {side}_norms {side}_sims", f"SELECT * FROM (SELECT a, b, {r6('sim')} AS sim FROM {side}_sims WHERE a < b) WHERE sim >= 0.1::DOUBLE"
+        )
     S["propagate"] = sql(
         BASE + " cells user_norms user_sims",
         "SELECT a AS user_idx, " + ", ".join(f"{r6(f'sum(sim * {factor(chr(98), j)})')} AS f{j}" for j in range(4))

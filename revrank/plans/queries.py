@@ -577,6 +577,20 @@ def user_cosine(spark, folder):
     return show(G.user_cosine(G.interaction_cells(t.log, t.items, "price")), "sim")
 
 
+@query
+def item_cosine_join(spark, folder):
+    """Pairs of items alike from a cosine of 0.1 on."""
+    t = Tables(spark, folder)
+    return show(G.cosine_join(G.interaction_cells(t.log, t.items, "price"), "item_idx", "user_idx", 0.1), "sim")
+
+
+@query
+def user_cosine_join(spark, folder):
+    """Pairs of users alike from a cosine of 0.1 on."""
+    t = Tables(spark, folder)
+    return show(G.cosine_join(G.interaction_cells(t.log, t.items, "price"), "user_idx", "item_idx", 0.1), "sim")
+
+
 @query
 def propagate(spark, folder):
     t = Tables(spark, folder)

@@ -100,3 +100,25 @@ def test_knn_equals_brute_force(spark, metric):
     assert sorted((r["query_id"], r["neighbour"], r["point_id"]) for r in found) == sorted(
         (q, n + 1, int(p)) for q in range(120) for n, p in enumerate(order[q])
     )
+
+
+@pytest.mark.parametrize("least", [0.05, 0.3, 0.6, 0.95])
+def test_cosine_join_equals_all_pairs_from_its_threshold_on(spark, least):
+    """Sparse vectors with common and rare entries, equal vectors, and a hot entry."""
+    draw = np.random.default_rng(int(least * 100))
+    rows = [(u, i, float(draw.random() + 0.1)) for u in range(60) for i in range(40) if draw.random() < 3 / (i + 3)]
+    rows += [(100 + u, i, w) for u, i, w in rows if u < 5]
+    cells = spark.createDataFrame(rows + [(200, 7, 0.0)], "user_idx long, item_idx long, weight double")
+    found = {(r.a, r.b): r.sim for r in G.cosine_join(cells, "user_idx", "item_idx", least).collect()}
+    want = {(r.a, r.b): r.sim for r in G.user_cosine(cells.filter("weight > 0")).collect() if r.a < r.b and round(r.sim, 6) >= least}
+    assert len(want) >= 5 and found.keys() == want.keys()
+    assert all(abs(found[key] - want[key]) < 1e-9 for key in want)
+
+
+def test_cosine_join_meets_few_pairs_at_common_entries(spark):
+    """An entry that every vector has in its front is not indexed, so it pairs nobody."""
+    rows = [(u, 0, 0.2) for u in range(300)] + [(u, 1 + u, 1.0) for u in range(300)]
+    cells = spark.createDataFrame(rows, "user_idx long, item_idx long, weight double")
+    assert G.cosine_join(cells, "user_idx", "item_idx", 0.5).count() == 0
+    assert G.cosine_join(cells.limit(0), "user_idx", "item_idx", 0.5).count() == 0
+    assert G.cosine_join(cells, "user_idx", "item_idx", 0.03).count() == 300 * 299 // 2
