@@ -170,7 +170,7 @@ def test_bounds_hold_in_boxes(forest):
         assert values.max() <= most + 1e-9
 
 
-@pytest.mark.parametrize("boost", [0.6, 4.5, 0.01])
+@pytest.mark.parametrize("boost", [0.6, 4.5])
 def test_embedding_forest_equals_scoring_everything(shop, forest, boost):
     users, items, log = shop
     forest.revenue_boost = boost
