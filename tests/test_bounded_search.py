@@ -199,3 +199,11 @@ def test_forest_search_scores_few_pairs(spark):
     model = EmbeddingForestRecommender(embedding_dim=4, revenue_boost=0.3, trees=5, depths=(3, 4), iterations=1).fit(log, users, items)
     model.recommend(log, K, users, items, counts=counts).count()
     assert sum(counts) < 0.25 * 40 * 1200
+
+
+@pytest.mark.parametrize(("groups", "least"), [(1, 1), (2, 3), (128, 32)])
+def test_users_are_sent_by_group_of_blocks(spark, monkeypatch, groups, least):
+    monkeypatch.setattr(cones, "GROUP_BLOCKS", groups)
+    monkeypatch.setattr(cones, "LEAST_GROUPS", least)
+    users, items, seen = tables(spark, 30, 400)
+    same(cone_top_k(users, cone_index(items, 8), seen, K, nearness), by_hand(users, items, seen, K, nearness))
