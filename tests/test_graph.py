@@ -122,3 +122,28 @@ def test_cosine_join_meets_few_pairs_at_common_entries(spark):
     assert G.cosine_join(cells, "user_idx", "item_idx", 0.5).count() == 0
     assert G.cosine_join(cells.limit(0), "user_idx", "item_idx", 0.5).count() == 0
     assert G.cosine_join(cells, "user_idx", "item_idx", 0.03).count() == 300 * 299 // 2
+
+
+def test_a_product_ships_vectors_by_block_and_not_by_cell(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    dense = rng.random((30, 20)) * (rng.random((30, 20)) < 0.5)
+    vectors = rng.normal(size=(30, 3))
+    rows = [(u if u < 29 else None, i, float(dense[u, i])) for u in range(30) for i in range(20) if dense[u, i]]
+    cells = spark.createDataFrame(rows, "user_idx long, item_idx long, weight double")
+    known = spark.createDataFrame([(u, vectors[u].tolist()) for u in range(30)], "user_idx long, vector array<double>")
+    expected = dense[:29].T @ vectors[:29]
+    for numbers in (32_000_000, 24):
+        monkeypatch.setattr(G, "BLOCK_NUMBERS", numbers)
+        made = G.multiply(cells, known, "user_idx", "item_idx", 3)
+        assert "Join" not in made._jdf.queryExecution().optimizedPlan().toString()
+        found = {r.item_idx: r.vector for r in made.collect()}
+        assert sorted(found) == list(range(20))
+        assert np.allclose([found[i] for i in range(20)], expected)
+    # A null target stays a target, as for any grouping.
+    back = G.multiply(cells, spark.createDataFrame([(i, [1.0]) for i in range(20)], "item_idx long, vector array<double>"), "item_idx", "user_idx", 1)
+    assert np.allclose({r.user_idx: r.vector[0] for r in back.collect()}[None], dense[29].sum())
+    # Far fewer vectors than cells, with a bounded block.
+    monkeypatch.setattr(G, "BLOCK_NUMBERS", 32_000_000)
+    by_source, by_target = G._product_grid(1_200_000, 900_000, 36_000_000, 72, 12)
+    assert 1_200_000 * by_target + 900_000 * by_source < 36_000_000 / 5
+    assert 1_200_000 * 72 / by_source <= G.BLOCK_NUMBERS >= 900_000 * 72 / by_target
