@@ -147,3 +147,20 @@ def test_a_product_ships_vectors_by_block_and_not_by_cell(spark, monkeypatch):
     by_source, by_target = G._product_grid(1_200_000, 900_000, 36_000_000, 72, 12)
     assert 1_200_000 * by_target + 900_000 * by_source < 36_000_000 / 5
     assert 1_200_000 * 72 / by_source <= G.BLOCK_NUMBERS >= 900_000 * 72 / by_target
+
+
+def test_pairs_are_not_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(G, "BLOCK_CELLS", 40)
+    rng = np.random.default_rng(8)
+    dense = rng.random((25, 9)) * (rng.random((25, 9)) < 0.5) + np.eye(25, 9)
+    rows = [(u, i, float(dense[u, i])) for u in range(25) for i in range(9) if dense[u, i]]
+    cells = spark.createDataFrame(rows, "user_idx long, item_idx long, weight double")
+    dots = G.block_dots(cells.selectExpr("user_idx o", "item_idx g", "weight w", "0D front"))
+    plan = dots._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+    want = dense @ dense.T
+    found = {(r.a, r.b): r.dot for r in dots.collect()}
+    assert found.keys() == {(a, b) for a in range(25) for b in range(a + 1, 25) if want[a, b] > 0}
+    assert all(abs(found[key] - want[key]) < 1e-9 for key in found)
+    some = {(r.a, r.b) for r in G.block_dots(cells.selectExpr("user_idx o", "item_idx g", "weight w", "0D front"), 0.5).collect()}
+    assert some == {key for key in found if want[key] >= 0.5}
