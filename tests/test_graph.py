@@ -164,3 +164,10 @@ def test_pairs_are_not_shuffled(spark, monkeypatch):
     assert all(abs(found[key] - want[key]) < 1e-9 for key in found)
     some = {(r.a, r.b) for r in G.block_dots(cells.selectExpr("user_idx o", "item_idx g", "weight w", "0D front"), 0.5).collect()}
     assert some == {key for key in found if want[key] >= 0.5}
+
+
+def test_a_large_group_without_an_id_gives_no_pairs(spark):
+    rows = [(None, i, 1.0) for i in range(300)] + [(7, 1, 1.0), (7, 2, 1.0)]
+    cells = spark.createDataFrame(rows, "user_idx long, item_idx long, weight double")
+    pairs = {(r.a, r.b): r.sim for r in G.item_cosine(cells).collect()}
+    assert len(pairs) == 301 and abs(pairs[1, 2] - 0.5) < 1e-9
