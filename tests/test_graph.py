@@ -57,6 +57,24 @@ def test_affinity_with_popular_items(cells, hot_rows):
         assert abs(r["affinity"] - want[r["user_idx"], r["item_idx"]]) < 1e-9
 
 
+@pytest.mark.parametrize("block, at_once", [(5, 1_000), (7, 1), (1_000, 2)])
+def test_affinity_in_blocks_of_users_and_peers(spark, cells, monkeypatch, block, at_once):
+    """Profiles stay in a task, whose blocks are bounded; rows without an id, repeats and strange pairs as before."""
+    monkeypatch.setattr(G, "AFFINITY_CELLS", block)
+    monkeypatch.setattr(G, "SPOKES_AT_ONCE", at_once)
+    m = matrix(cells, 9, 12)
+    want = m @ cosine(m.T)
+    odd = spark.createDataFrame([(None, 1), (2, None), (77, 1), (3, 99), (4, 5), (4, 5)], "user_idx long, item_idx long")
+    found = G.graph_affinity(cells, cells.select("user_idx", "item_idx").unionByName(odd), 1000)
+    joined = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "peer" in line and "Join" in line]
+    assert not joined  # profiles, a row for each user and peer, are not joined
+    rows = {(r["user_idx"], r["item_idx"]): r["affinity"] for r in found.collect()}
+    assert rows.keys() == {(r["user_idx"], r["item_idx"]) for r in cells.collect()} | {tuple(r) for r in odd.collect()}
+    for (u, i), value in rows.items():
+        known = u is not None and i is not None and u < 9 and i < 12
+        assert abs(value - (want[u, i] if known else 0.0)) < 1e-9
+
+
 def test_nmf_loss_never_rises(cells):
     losses = []
     users, items = factorise.nmf(cells, size=3, iterations=4, losses=losses)
