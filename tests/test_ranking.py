@@ -58,6 +58,21 @@ def test_first_unseen_equals_brute_force(world, monkeypatch, broadcast_rows):
     assert rows(everyone, "user_idx", "item_idx") == brute(users, order, set(), 3)
 
 
+def test_first_unseen_joins_the_log_with_the_reachable_head_only(spark, monkeypatch):
+    """Items that come twice take two places of a user who has seen them; others see no more than the head."""
+    items = spark.range(5_000).selectExpr("id AS item_idx", "-cast(id AS double) AS score")
+    twice = items.unionByName(items.filter("item_idx < 4"))
+    ranked = R.global_rank(twice, F.col("score").desc(), "item_idx")
+    seen = spark.createDataFrame([(0, 0), (0, 1), (0, 3), (1, 4_000), (1, 4_001), (None, 2), (2, None)], "user_idx long, item_idx long")
+    users = spark.createDataFrame([(0,), (1,), (2,), (3,)], "user_idx long")
+    served, serve = [], R.items_at_rank
+    monkeypatch.setattr(R, "items_at_rank", lambda pairs, catalogue, columns: served.append(catalogue.size) or serve(pairs, catalogue, columns))
+    found = R.first_unseen(users, ranked, seen, 3)
+    want = [(0, 2), (0, 2), (0, 4)] + [(u, i) for u in (1, 2, 3) for i in (0, 0, 1)]
+    assert rows(found, "user_idx", "item_idx") == want
+    assert served == [9]  # need 3 + 3 rows × 2 places
+
+
 def test_first_unseen_with_shifted_start(world):
     users, scores, seen, u, i, s = world
     ranked = R.global_rank(i, "item_idx")
