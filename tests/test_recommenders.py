@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from revrank.functions import expressions as E
 from revrank.operators.features import item_vocabulary
+from revrank.operators import knn
 from revrank.operators.knn import knn_index, knn_join, knn_search
 from revrank.operators.ranking import global_rank, grouped_top_k, top_k_per_user
 from revrank.operators.sequences import padded_sequences
+from revrank.recommenders import learned
 from revrank.recommenders.graph import EmbeddingForestRecommender, GraphRecommender
 from revrank.recommenders.learned import BoostedTreesRecommender, ForestRecommender, LinearMarginRecommender, NeighbourRecommender
 from revrank.recommenders.sequence import BigramRecommender, ItemVectorRecommender, score_sequences
@@ -285,6 +287,45 @@ def test_index_serves_several_searches(spark):
         knn_search(asked, index, 8)
 
 
+def test_training_rows_of_one_file_are_dealt_to_all_cores(spark, monkeypatch):
+    data = spark.range(0, 1000, 1, 1).selectExpr("id AS user_idx", "id AS item_idx")
+    assert learned.dealt_to_tasks(data).rdd.getNumPartitions() == 1  # too few to be worth it
+    monkeypatch.setattr(learned, "TASK_ROWS", 400)
+    dealt = learned.dealt_to_tasks(data)
+    assert dealt.rdd.getNumPartitions() == 3 and sorted(r["user_idx"] for r in dealt.collect()) == list(range(1000))
+    monkeypatch.setattr(learned, "TASK_ROWS", 1)
+    assert learned.dealt_to_tasks(data).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan", "cosine"])
+def test_a_query_is_sent_once_to_a_pack_of_cells(spark, monkeypatch, metric):
+    """Cells share packs or are cut into several; points that come twice, equal distances and own parts as by brute force."""
+    random = np.random.default_rng(5)
+    vectors = np.round(random.normal(size=(240, 4)) + 6 * random.integers(0, 3, size=(240, 1)), 1)
+    rows = [(i % 200, v.tolist(), i % 3) for i, v in enumerate(vectors)]
+    points = spark.createDataFrame(rows, "point_id long, vector array<double>, part int")
+    asked = points.filter("point_id >= 60 AND point_id < 180").withColumnRenamed("point_id", "query_id")
+    sent, visit = [], knn._visit
+    monkeypatch.setattr(knn, "_visit", lambda routed, *rest: sent.append(routed) or visit(routed, *rest))
+    monkeypatch.setattr(knn, "TASK_PAIRS", 500)
+    index = knn_index(points, metric, 6, pivots=12, block_rows=40)
+    found = defaultdict(list)
+    for r in knn_search(asked, index, 5, exclude_same_id=True).orderBy("query_id", "neighbour").collect():
+        found[r["query_id"]].append((r["distance"], r["point_id"]))
+    packs = int((index.first_pack + index.packs).max())
+    assert 240 / 40 <= packs < 12 + 240 / 40
+    for routed in sent:
+        assert all(len(set(r["packs"])) == len(r["packs"]) <= packs for r in routed.collect())
+    for name, own, part in rows[60:180]:
+        own = np.array(own)
+        def far(v):
+            if metric == "cosine":
+                return 1 - own @ v / np.sqrt((own @ own) * (v @ v))
+            return np.abs(own - v).sum() if metric == "manhattan" else np.sqrt(((own - v) ** 2).sum())
+        want = sorted((far(np.array(v)), i) for i, v, p in rows if p != part and i != name)[:5]
+        assert np.allclose([d for d, _ in found[name]], [d for d, _ in want], atol=2e-6)
+
+
 def by_every_pair(model, log, k, users, items):
     """Top k by scoring all pairs."""
     pairs = users.crossJoin(items.withColumn("price", E.clean_price("price")))
