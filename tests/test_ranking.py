@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from revrank.functions import expressions as E
 from revrank.operators import ranking as R
 from revrank.operators.features import dense_index, minmax_per_user, softmax_per_user
 
@@ -109,3 +110,30 @@ def test_index_and_scaling(spark):
     assert rows(minmax_per_user(df, "v"), "user_idx", "norm") == [(3, 0.5), (5, 0.0), (5, 1.0)]
     sums = softmax_per_user(df, "v").groupBy("user_idx").agg(F.round(F.sum("prob"), 9).alias("s"))
     assert rows(sums, "s") == [(1.0,), (1.0,)]
+
+
+def test_margin_search_equals_scoring_everything_and_grows_with_users_only(spark):
+    """Prices of both signs, equal items, a user who has seen nearly all; more items score no more pairs."""
+    users = spark.range(400).selectExpr("if(id = 0, NULL, id) AS user_idx", "(id * 37 % 400) / 100.0D - 2 AS user_margin")
+
+    def score(pairs):
+        return pairs.withColumn("score", E.shown(F.col("price") / (1 + F.exp(-(F.col("user_margin") + F.col("item_margin"))))))
+
+    def run(n_items, copies, low):
+        items = spark.range(n_items).selectExpr(
+            "id AS item_idx", f"id div {copies} * 7919 % 1000 * 0.1D + {low} AS price", f"id div {copies} * 104729 % 997 / 500.0D - 1 AS item_margin"
+        )
+        seen = spark.range(1, 400, 3).selectExpr("id AS user_idx", f"explode(sequence(if(id = 1, 0, id % 2), {n_items} - 1, if(id = 1, 1, 7))) AS item_idx")
+        counts = []
+        found = R.margin_top_k(users, items, seen, 3, score, counts=counts)
+        every = users.join(seen.withColumnRenamed("item_idx", "s"), "user_idx", "left").groupBy("user_idx", "user_margin").agg(F.collect_set("s").alias("s"))
+        every = score(every.crossJoin(items).filter(~F.array_contains("s", F.col("item_idx"))))
+        expected = R.top_k_per_user(every, 3).select("user_idx", "item_idx", "score")
+        key = lambda r: (r[0] is None, r[0] or 0, -r[2], r[1])
+        assert sorted(map(tuple, found.collect()), key=key) == sorted(map(tuple, expected.collect()), key=key)
+        return counts
+
+    few, many = run(1000, 1, 0.0), run(4000, 4, 0.0)
+    run(300, 1, -40.0)
+    assert run(2, 1, -5.0) and few[0] < 400 * 60 and many[0] < 400 * 60
+    assert sum(many) < 2 * sum(few)
