@@ -1,7 +1,12 @@
 import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
+from revrank.functions import expressions as E
 from revrank.operators import factorise, graph as G, knn as N
+from revrank.operators.features import shown_values
+from revrank.recommenders import graph as RG
 
 
 def matrix(cells, n_users, n_items):
@@ -189,3 +194,27 @@ def test_a_large_group_without_an_id_gives_no_pairs(spark):
     cells = spark.createDataFrame(rows, "user_idx long, item_idx long, weight double")
     pairs = {(r.a, r.b): r.sim for r in G.item_cosine(cells).collect()}
     assert len(pairs) == 301 and abs(pairs[1, 2] - 0.5) < 1e-9
+
+
+def test_pair_features_by_blocks_equal_those_by_pairs(spark, monkeypatch):
+    """Several blocks, an item that comes twice, pairs without a user or item, nulls, halves of the last digit."""
+    users = spark.range(30).select(F.col("id").alias("user_idx"), *(F.lit(v).alias(n) for n, v in (("avg_price", 2.5e-7), ("activity", 0.6))))
+    users = users.join(G.pseudo_factors(users, "user_idx", RG.WIDTH).withColumnRenamed("vector", "user_vector"), "user_idx")
+    items = spark.range(20).selectExpr("id AS item_idx", "id * 0.1D + 0.0000005D AS price", "if(id = 3, double('NaN'), -1.0000025D) AS popularity", "1e17D AS value_score")
+    items = items.join(G.pseudo_factors(items, "item_idx", RG.WIDTH).withColumnRenamed("vector", "item_vector"), "item_idx")
+    items = items.unionByName(items.filter("item_idx = 5").withColumn("price", F.lit(7.0)))
+    cells = spark.range(60).selectExpr("if(id = 0, NULL, id % 33) AS user_idx", "id * 7 % 23 AS item_idx")
+    monkeypatch.setattr(RG, "FEATURE_NUMBERS", 200)
+    monkeypatch.setattr(RG, "FEATURE_PAIRS", 10)
+    found = RG.pair_feature_table(cells, users, items)
+    pairs = RG.pair_features(cells.join(users, "user_idx").join(items, "item_idx")).withColumn("v", vector_to_array("features"))
+    plain = pairs.select("user_idx", "item_idx", *[E.shown(F.col("v")[j]).alias(f"f{j}") for j in range(2 * RG.WIDTH + 6)])
+    assert found.columns == plain.columns and plain.count() > 30
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, plain.collect()))
+
+
+def test_rounding_of_arrays_is_that_of_columns(spark):
+    draw = np.random.default_rng(3)
+    values = np.concatenate([draw.normal(size=500), draw.integers(-50, 50, 200) / 2e6 - 1e-10, draw.normal(size=200) * 1e10, [0.0, -1e-9, 5e-7, 1e300, np.nan, np.inf, -np.inf]])
+    column = [r[0] for r in spark.createDataFrame([(float(v),) for v in values], "v double").select(E.shown("v")).collect()]
+    assert list(map(repr, column)) == list(map(repr, shown_values(values).tolist()))
