@@ -137,3 +137,31 @@ def test_margin_search_equals_scoring_everything_and_grows_with_users_only(spark
     run(300, 1, -40.0)
     assert run(2, 1, -5.0) and few[0] < 400 * 60 and many[0] < 400 * 60
     assert sum(many) < 2 * sum(few)
+
+
+def test_alike_items_are_searched_once(spark):
+    """Equal items, an id with two prices, an item without id: the rows of every pair, and copies score no more pairs."""
+    users = spark.range(12).selectExpr("id AS user_idx", "id % 3 AS kind")
+    seen = spark.range(12).selectExpr("id AS user_idx", "explode(sequence(id, 30L, 2L)) AS item_idx")
+    scored = []
+
+    def run(copies):
+        items = spark.range(40 * copies).selectExpr("nullif(id, 39) AS item_idx", "double(10 + id % 40 div 2) AS price", "id % 40 % 3 AS mark")
+        items = items.unionByName(items.filter("item_idx IN (31, 33)").withColumn("price", F.lit(28.0)))
+        ranked = R.global_rank(items.withColumn("bound", F.col("price")), F.col("bound").desc(), "item_idx", "price")
+        total = 0
+
+        def score(pairs):
+            nonlocal total
+            total += pairs.count()
+            return pairs.withColumn("score", F.col("price") * (F.lit(0.5) + F.pmod(F.hash("kind", "mark"), F.lit(5)) / 10))
+
+        found = R.grouped_top_k(users, ["kind"], ranked, seen, 4, score, ["price", "mark"], first=8, alike=["price", "mark"])
+        found = sorted(map(repr, found.select("user_idx", "item_idx", "score").collect()))
+        scored.append(total)
+        every = score(users.crossJoin(items)).join(seen, ["user_idx", "item_idx"], "left_anti")
+        assert found == sorted(map(repr, R.top_k_per_user(every, 4).select("user_idx", "item_idx", "score").collect()))
+
+    run(1)
+    run(5)
+    assert scored[1] <= 1.2 * scored[0]
