@@ -87,6 +87,25 @@ def test_nmf_loss_never_rises(cells):
     assert all(v >= 0 for r in users.union(items).collect() for v in r["vector"])
 
 
+def test_nmf_held_by_the_driver_equals_products_of_tables(spark, monkeypatch):
+    """Rows without an id, an item that only a row without a user names, a target in several packed rows; one job a step."""
+    rows = [(u, i, float(1 + u * i % 5) / 4) for u in range(12) for i in range(9) if (u * 7 + i * 5) % 3]
+    rows += [(None, 2, 1.0), (3, None, 2.0), (None, 77, 1.0), (88, None, 1.0), (4, 5, None)]
+    cells = spark.createDataFrame(rows, "user_idx long, item_idx long, weight double")
+    monkeypatch.setattr(factorise, "PACKED_CELLS", 4)
+    monkeypatch.setattr(factorise, "HELD_TASK_CELLS", 20)
+    asked, multiply = [], factorise.multiply
+    monkeypatch.setattr(factorise, "multiply", lambda *a: asked.append(1) or multiply(*a))
+    held = factorise.nmf(cells, size=3, iterations=4)
+    assert not asked
+    monkeypatch.setattr(factorise, "HELD_NUMBERS", 0)
+    for own, other, key in zip(held, factorise.nmf(cells, size=3, iterations=4), ("user_idx", "item_idx")):
+        own, other = ({r[key]: np.array(r["vector"]) for r in df.collect()} for df in (own, other))
+        assert own.keys() == other.keys() and len(own) == (12 if key == "user_idx" else 9)
+        assert all(np.allclose(own[x], other[x], rtol=1e-9) for x in own)
+    assert len(asked) == 8
+
+
 def test_svd_reconstructs_a_low_rank_matrix(spark):
     rng = np.random.default_rng(3)
     m = rng.random((15, 2)) @ rng.random((2, 11)) + 0.5
