@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -208,6 +209,37 @@ def test_pairs_are_not_shuffled(spark, monkeypatch):
     assert some == {key for key in found if want[key] >= 0.5}
 
 
+def test_cells_are_packed_in_whole_ids_and_one_block_is_held(spark):
+    """Ids over several batches, ids and groups that repeat; pairs of two blocks and of one with itself as by hand."""
+    rng = np.random.default_rng(4)
+    rows = sorted((int(a), int(o) * 2 + int(a), int(g) - 20) for a, o, g in zip(rng.integers(0, 2, 400), rng.integers(0, 9, 400) ** 2, rng.integers(0, 40, 400)))
+    at, o, g = (np.array(c) for c in zip(*rows))
+    numbers = {"at": at.astype(np.int32), "o": o, "g": g, "w": rng.integers(1, 4, 400) / 8.0, "norm": np.full(400, 2.0), "front": o / 10.0, "indexed": rng.random(400) < 0.8}
+    whole = pa.table(numbers)
+    runs = [r for batch in G._packed_runs(iter(whole.to_batches(max_chunksize=7))) for r in batch.to_pylist()]
+    back = [np.concatenate(c) for c in zip(*(G._unpacked(r) for r in runs))]
+    for found, name in zip(back, ("o", "g", "w", "front", "indexed")):
+        assert np.array_equal(found, numbers[name] / 2 if name == "w" else numbers[name])
+    assert len(runs) > 4 and len({(r["at"], x) for r in runs for x in np.cumsum(G._unpack(r["o"], np.int64, r["n_ids"]))}) == sum(r["n_ids"] for r in runs)
+    for itself in (True, False):
+        asked = [r | {"itself": itself, "second": not itself and r["at"] == 1} for r in runs if not itself or r["at"] == 0]
+        batches = [pa.RecordBatch.from_pylist([r]) for r in asked]
+        for least in (None, 0.0):
+            made = [(a, b, d) for batch in G._pair_sums(least)(iter(batches)) for a, b, d in zip(*(c.to_pylist() for c in batch.columns))]
+            want = {}
+            used = numbers["indexed"] if least is not None else np.ones(400, dtype=bool)
+            for i in range(400):
+                for j in range(400):
+                    if (o[i] < o[j] and at[i] == at[j] == 0 if itself else at[i] < at[j]) and g[i] == g[j]:
+                        dot, met = want.get((min(o[i], o[j]), max(o[i], o[j])), (0.0, False))
+                        want[min(o[i], o[j]), max(o[i], o[j])] = dot + numbers["w"][i] * numbers["w"][j] / 4, met or (used[i] and used[j])
+            want = {key: dot for key, (dot, met) in want.items() if met}
+            assert len(made) == len(want) > 5 and all(abs(want[a, b] - d) < 1e-12 for a, b, d in made)
+    # Pairs are checked where they are made: no cells are joined with pairs.
+    cells = spark.createDataFrame([(u, i, 1.0) for u in range(6) for i in range(u, 6)], "user_idx long, item_idx long, weight double")
+    assert "Join" not in G.cosine_join(cells, "user_idx", "item_idx", 0.1)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_a_large_group_without_an_id_gives_no_pairs(spark):
     rows = [(None, i, 1.0) for i in range(300)] + [(7, 1, 1.0), (7, 2, 1.0)]
     cells = spark.createDataFrame(rows, "user_idx long, item_idx long, weight double")
