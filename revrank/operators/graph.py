@@ -22,8 +22,8 @@ from revrank.session import cut_lineage
 BLOCK_SIDE = 2048
 BLOCK_CELLS = 4_000_000
 PAIRS_AT_ONCE = 1_000_000
-# Numbers in the vectors on one side of a block of a product, cells for which a further task is worth
-# it, and cells whose weighted vectors are added up at once.
+# Numbers in the vectors on one side of a block of a product, cells of a block, and cells whose weighted
+# vectors are added up at once.
 BLOCK_NUMBERS = 32_000_000
 PRODUCT_CELLS = 4_000_000
 SUM_CELLS = 32_768
@@ -367,14 +367,15 @@ def matrix_shape(cells: DataFrame) -> dict[str, int]:
     return row.asDict()
 
 
-def _product_grid(sources: int, targets: int, cells: int, size: int, tasks: int) -> tuple[int, int]:
+def _product_grid(sources: int, targets: int, cells: int, size: int, tasks: int | None = None) -> tuple[int, int]:
     """Source and target blocks of a product, with the fewest vectors shuffled.
 
-    Neither side of a block holds more than about ``BLOCK_NUMBERS`` numbers. A source's vector goes
-    to every target block, and a target has a partial sum from every source block.
+    Neither side of a block holds more than about ``BLOCK_NUMBERS`` numbers, nor a block more than about
+    ``PRODUCT_CELLS`` cells, however few the cores. A source's vector goes to every target block, and a target
+    has a partial sum from every source block.
     """
     least = [max(1, -(-n * size // BLOCK_NUMBERS)) for n in (sources, targets)]
-    wanted = max(least[0] * least[1], min(tasks, -(-cells // PRODUCT_CELLS)))
+    wanted = max(least[0] * least[1], -(-cells // PRODUCT_CELLS))
     grids = ((s, max(least[1], -(-wanted // s))) for s in range(least[0], max(least[0], wanted) + 1))
     return min(grids, key=lambda g: (g[1] * sources + (g[0] * targets if g[0] > 1 else 0), g))
 
@@ -392,20 +393,23 @@ def _block_sums(size: int):
             total = np.zeros((len(ids), size))
             np.add.at(total, rows, values)
             rows, values = np.arange(len(ids)), total
-        at = np.empty(len(ids), dtype=np.int64)
+        at = np.empty(len(ids), dtype=np.int32)
         at[rows] = np.arange(len(rows))
-        source, weight = cells["source"].to_numpy(), cells["weight"].to_numpy()
-        place = np.minimum(np.searchsorted(ids, source), len(ids) - 1)
-        known = np.flatnonzero(ids[place] == source)
-        if not len(known):
+        place = np.minimum(np.searchsorted(ids, cells["source"].to_numpy()), len(ids) - 1).astype(np.int32)
+        known = ids[place] == cells["source"].to_numpy()
+        if not known.all():
+            cells, place = cells.filter(pa.array(known)), place[known]
+        del known
+        if not len(place):
             return out.empty_table()
-        named = cells["target"].combine_chunks().take(pa.array(known)).dictionary_encode("encode")
-        code = named.indices.to_numpy()
+        row = at[place]
+        del place
+        named = cells["target"].combine_chunks().dictionary_encode("encode")
+        code, weight = named.indices.to_numpy(), cells["weight"].to_numpy()
         order = np.argsort(code, kind="stable")
-        row, weight, code = at[place[known][order]], weight[known][order], code[order]
         total = np.zeros((len(named.dictionary), size))
-        for first in range(0, len(code), SUM_CELLS):
-            part = slice(first, first + SUM_CELLS)
+        for first in range(0, len(order), SUM_CELLS):
+            part = order[first : first + SUM_CELLS]
             here, starts = np.unique(code[part], return_index=True)
             total[here] += np.add.reduceat(values[row[part]] * weight[part, None], starts, axis=0)
         ends = pa.array(np.arange(0, total.size + 1, size, dtype=np.int32))
@@ -424,8 +428,7 @@ def multiply(
     of the grid and not once for every cell. ``shape`` is :func:`matrix_shape` of the cells, if known.
     """
     shape = shape or matrix_shape(cells)
-    tasks = cells.sparkSession.sparkContext.defaultParallelism
-    n_source, n_target = _product_grid(shape[source], shape[target], shape["cells"], size, tasks)
+    n_source, n_target = _product_grid(shape[source], shape[target], shape["cells"], size)
 
     def block(column: str, n: int):
         return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")

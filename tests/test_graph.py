@@ -192,6 +192,15 @@ def test_a_product_ships_vectors_by_block_and_not_by_cell(spark, monkeypatch):
     assert 1_200_000 * 72 / by_source <= G.BLOCK_NUMBERS >= 900_000 * 72 / by_target
 
 
+def test_blocks_of_a_product_are_bounded_in_cells_on_few_cores():
+    for size in (4, 72):
+        for cells in (3_000_000, 36_000_000, 216_000_000):
+            by_source, by_target = G._product_grid(cells // 30, cells // 40, cells, size, 12)
+            assert cells / (by_source * by_target) <= G.PRODUCT_CELLS
+            assert cells // 30 * size / by_source <= G.BLOCK_NUMBERS >= cells // 40 * size / by_target
+    assert G._product_grid(20_000, 15_000, 600_000, 4, 12) == (1, 1)
+
+
 def test_pairs_are_not_shuffled(spark, monkeypatch):
     monkeypatch.setattr(G, "BLOCK_CELLS", 40)
     rng = np.random.default_rng(8)
