@@ -101,6 +101,7 @@ class Index:
     """Postings of the templates' words; ``rarity`` maps a word to its weight (default 1)."""
 
     def __init__(self, templates: tuple[Template, ...], rarity: dict[str, float] | None = None):
+        self.templates = templates
         self.words = sorted({w for t in templates for w in t.text.split()})
         hashes = Words([w.encode() for w in self.words], LETTERS).hashes()
         order = np.argsort(hashes)
@@ -155,9 +156,12 @@ class Index:
             return np.logical_and.reduceat(same, heads)
         return np.add.reduceat(same * self.weight[own], heads)
 
-    def find(self, numbers: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def find(self, numbers: np.ndarray, doc: np.ndarray | None = None) -> tuple[np.ndarray, ...] | list[tuple]:
         """Finds of several texts (``doc`` is each word's text) in order of place: text, template, first word
-        of its first phrase (a place in ``numbers``), and support."""
+        of its first phrase (a place in ``numbers``), and support. Without ``doc`` there is one text, and
+        each find is (template, first word, support)."""
+        if doc is None:
+            return list(zip(*self.find(numbers, np.zeros(len(numbers), dtype=np.int64))[1:]))
         spots = np.flatnonzero(numbers >= 0)
         spots = spots[self.runs[numbers[spots]] > 0]
         out = []
